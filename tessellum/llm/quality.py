@@ -32,6 +32,7 @@ class QualityModelSpec:
         and then toward the identity.
     threshold: least score of a document that is predicted good.
     folds, held_out: labels of ids with that remainder are never learned from.
+    broadcast_ids: most ids that are broadcast to pick labelled texts; above it, a join.
     """
 
     pooled: float = 0.2
@@ -39,6 +40,7 @@ class QualityModelSpec:
     threshold: float = 0.7
     folds: int = 4
     held_out: int = 2
+    broadcast_ids: int = 1_000_000
 
 
 STATISTICS = [
@@ -197,3 +199,25 @@ def quality_scores(docs: DataFrame, labels: DataFrame, spec: QualityModelSpec =
     scored = table.mapInArrow(partial(_score, model=model), "doc_id bigint, score double")
     held = remainder("doc_id", spec.folds) == spec.held_out
     return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= spec.threshold).cast("int").alias("predicted"))
+
+
+def _keep_good(batches: Iterator[pa.RecordBatch], model: Discriminant, threshold: float) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        good = [model.log_ratio(statistics(block)) for block in at.blocks(batch.column("text"))]
+        if good:
+            score = 1 / (1 + np.exp(-np.clip(np.concatenate(good), -500, 500)))
+            yield batch.filter(pa.array(score >= threshold))
+
+
+def good_documents(docs: DataFrame, labels: DataFrame, spec: QualityModelSpec = QualityModelSpec()) -> DataFrame:
+    """The rows of docs that are predicted good, with all columns; every row without labels of both classes."""
+    taught = materialise(training_labels(labels, "quality", spec.folds, spec.held_out), "taught")
+    labelled = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    if taught.count() <= spec.broadcast_ids:
+        labelled = labelled.join(F.broadcast(taught.select("doc_id")), "doc_id", "left_semi")
+    else:
+        labelled = labelled.join(taught.select("doc_id"), "doc_id", "left_semi")
+    model = fit(materialise(measured(labelled), "statistics"), taught, spec)
+    if model is None:
+        return docs
+    return docs.mapInArrow(partial(_keep_good, model=model, threshold=spec.threshold), docs.schema)
