@@ -1,0 +1 @@
+"""Camera-reconstruction and time-series analytics as Spark DataFrame operations."""
