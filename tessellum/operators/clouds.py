@@ -5,10 +5,11 @@ from __future__ import annotations
 from functools import reduce
 
 import numpy as np
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessellum.storage import materialise
+
 
 def cells(axes: list[str], sizes: list[float]) -> list[Column]:
     return [F.floor(F.col(a) / F.lit(float(s))).alias(f"cell_{a}") for a, s in zip(axes, sizes, strict=True)]
@@ -36,7 +37,7 @@ def voxel_escalate(points: DataFrame, axes: list[str], sizes: list[float], max_p
     Each level is made from the points that the level before left, weighted by their counts.
     """
     columns = [*axes, *(carried or [])]
-    cloud = voxel_downsample(points, axes, sizes, carried).persist(StorageLevel.DISK_ONLY)
+    cloud = materialise(voxel_downsample(points, axes, sizes, carried), "voxels")
     grown, scale = 0, 1.0
     while (count := cloud.count()) > max_points and grown < tries:
         scale *= factor
@@ -44,10 +45,7 @@ def voxel_escalate(points: DataFrame, axes: list[str], sizes: list[float], max_p
         grouped = cloud.groupBy(*cells(axes, [s * scale for s in sizes])).agg(
             F.sum("n").alias("__n"), *[F.sum(F.col(c) * F.col("n")).alias(f"sum_{c}") for c in columns]
         )
-        after = voxel_means(grouped.withColumnRenamed("__n", "n"), columns).persist(StorageLevel.DISK_ONLY)
-        after.count()
-        cloud.unpersist()
-        cloud = after
+        cloud = materialise(voxel_means(grouped.withColumnRenamed("__n", "n"), columns), "voxels")
     return cloud, grown, count <= max_points
 
 
@@ -73,7 +71,7 @@ def neighbour_distances(points: DataFrame, key: str, axes: list[str], k: int, ce
     point's k nearest are certain once k lie within one cell's width; for the
     others the grid is widened twofold and they are looked up again.
     """
-    cloud = points.select(key, *axes)
+    cloud = materialise(points.select(key, *axes), "cloud")
     pending, done, width = cloud, [], float(cell)
     total = cloud.count()
     while True:
@@ -86,11 +84,10 @@ def neighbour_distances(points: DataFrame, key: str, axes: list[str], k: int, ce
         nearest = near.groupBy(key).agg(F.slice(F.array_sort(F.collect_list("distance")), 1, k).alias("nearest"))
         sure = nearest.filter((F.size("nearest") == min(k, total - 1)) & (F.element_at("nearest", -1) <= width))
         means = sure.select(key, (F.aggregate("nearest", F.lit(0.0), lambda s, x: s + x) / F.size("nearest")).alias("mean_distance"))
-        means = means.persist(StorageLevel.DISK_ONLY)
-        found = means.count()
+        means = materialise(means, "neighbours")
         done.append(means)
-        pending = pending.join(means.select(key), key, "left_anti").persist(StorageLevel.DISK_ONLY)
-        if not found and total <= 1 or pending.isEmpty():
+        pending = materialise(pending.join(means.select(key), key, "left_anti"), "pending")
+        if total <= 1 or pending.isEmpty():
             break
         width *= 2
     return reduce(DataFrame.unionByName, done)
@@ -131,7 +128,5 @@ def ray_focus(rays: DataFrame, origin: list[str], direction: list[str]) -> tuple
 
 def capped_sample(df: DataFrame, by: list[str], order: list[str], n: int, seed: int = 0) -> DataFrame:
     """At most n rows of each group, chosen by a hash of the order columns, the same on every run."""
-    from pyspark.sql import Window
-
     rank = F.row_number().over(Window.partitionBy(*by).orderBy(F.xxhash64(F.lit(seed), *order), *order))
     return df.withColumn("__rank", rank).filter(F.col("__rank") <= n).drop("__rank")
