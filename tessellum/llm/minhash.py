@@ -8,11 +8,11 @@ seldom in a prefix.  Collisions in the posted lists give candidates, the rest of
 the merge skips the lists and counts equal coordinates of the two signatures.
 Pairs above the threshold are confirmed on their full shingle sets.
 
-Lists of thousands of near copies are not expanded into pairs.  Each list first
-gives a star around one of its documents; the links that are confirmed are
-contracted into components, and only members of lists that still hold several
-components are compared again, in blocks of bounded size, one component with
-another.  Exact copies are one set from the start.
+Lists of thousands of near copies are not expanded into pairs.  The least
+document of a list is its centre, and each document first goes with the centre
+that it collides with most.  The links that are confirmed are contracted into
+components, and only members of lists that still hold several components are
+compared again, in blocks of bounded size, one component with another.  Exact copies are one set from the start.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessellum.llm import arrowtext as at
@@ -45,6 +45,7 @@ class NearDuplicates:
         order of all pairs.  The order changes the amount of work, never the
         result.
     block: most members of a list that are compared with others at once.
+    long: members of lists longer than this bring their full sets along.
     broadcast_ids: most ids that are broadcast to pick texts; above it, a join.
     """
 
@@ -53,7 +54,8 @@ class NearDuplicates:
     coordinates: int = 64
     threshold: int = 38
     order_sample: int = 8192
-    block: int = 1024
+    block: int = 512
+    long: int = 64
     broadcast_ids: int = 1_000_000
 
     @property
@@ -141,18 +143,21 @@ def _matrix(column: pa.Array, k: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, k)
 
 
+def _ordered(pairs: np.ndarray, common: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """The coordinates of each signature in the common order: rare pairs first, by a hash; then the frequent ones, rarest first."""
+    place = np.zeros(pairs.shape, np.int64)
+    if len(common):
+        at_ = np.minimum(np.searchsorted(common, pairs), len(common) - 1)
+        place = np.where(common[at_] == pairs, rank[at_], 0)
+    return np.lexsort((at.mix(pairs), place), axis=1)
+
+
 def _post(batches: Iterator[pa.RecordBatch], p: NearDuplicates, common: np.ndarray, rank: np.ndarray) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
         pairs = _pairs_of(_matrix(batch.column("signature"), p.coordinates))
-        place = np.zeros(pairs.shape, np.int64)
-        if len(common):
-            at_ = np.minimum(np.searchsorted(common, pairs), len(common) - 1)
-            place = np.where(common[at_] == pairs, rank[at_], 0)
-        # rare pairs first, by a hash; then the common ones, rarest first
-        order = np.lexsort((at.mix(pairs), place), axis=1)[:, : p.prefix]
-        chosen = np.take_along_axis(pairs, order, axis=1)
+        chosen = np.take_along_axis(pairs, _ordered(pairs, common, rank)[:, : p.prefix], axis=1)
         ids = np.repeat(batch.column("rep").to_numpy(zero_copy_only=False), p.prefix)
         yield pa.RecordBatch.from_arrays([pa.array(chosen.ravel().view(np.int64)), pa.array(ids)], names=["pair", "rep"])
 
@@ -202,59 +207,94 @@ def _confirm(batches: Iterator[pa.RecordBatch], similarity: int) -> Iterator[pa.
             yield batch.filter(pa.array(keep)).select(["a", "b"])
 
 
+def _held(ids: DataFrame, docs: DataFrame, p: NearDuplicates) -> DataFrame:
+    """(rep, held): the shingle sets of the documents of ids(doc_id), written out."""
+    ids = materialise(ids.distinct(), "ids")
+    wanted = F.broadcast(ids) if ids.count() <= p.broadcast_ids else ids
+    texts = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).join(wanted, "doc_id", "left_semi")
+    return materialise(texts.mapInArrow(partial(_sets, width=p.width), "rep bigint, held binary"), "sets")
+
+
 def confirmed(pairs: DataFrame, docs: DataFrame, p: NearDuplicates) -> DataFrame:
     """The pairs (a, b) of doc_ids whose full shingle sets are similar enough."""
     pairs = materialise(pairs, "pairs")
-    ids = materialise(pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct(), "ids")
-    wanted = F.broadcast(ids) if ids.count() <= p.broadcast_ids else ids
-    texts = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).join(wanted, "doc_id", "left_semi")
-    held = materialise(texts.mapInArrow(partial(_sets, width=p.width), "rep bigint, held binary"), "sets")
+    held = _held(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")), docs, p)
     left = held.select(F.col("rep").alias("a"), F.col("held").alias("ha"))
     right = held.select(F.col("rep").alias("b"), F.col("held").alias("hb"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "ha", "hb").mapInArrow(partial(_confirm, similarity=p.similarity), "a bigint, b bigint")
 
 
-def _compare(batches: Iterator[pa.RecordBatch], p: NearDuplicates) -> Iterator[pa.RecordBatch]:
-    """Of each task's two chunks of a list, the pairs of different components whose signatures agree enough."""
+def _linked(own: np.ndarray, others: list[np.ndarray], similarity: int) -> np.ndarray:
+    """For each of the other shingle sets, whether it is similar enough to the own one."""
+    sizes = np.array([len(x) for x in others], np.int64)
+    flat = np.concatenate(others)
+    there = own[np.minimum(np.searchsorted(own, flat), len(own) - 1)] == flat
+    common = np.add.reduceat(there.astype(np.int64), np.cumsum(sizes) - sizes)
+    return 100 * common >= similarity * (len(own) + sizes - common)
+
+
+def _compare(batches: Iterator[pa.RecordBatch], p: NearDuplicates, common: np.ndarray, rank: np.ndarray, full: bool) -> Iterator[pa.RecordBatch]:
+    """Of each task's two chunks of a list, the pairs of different components whose signatures agree enough.
+
+    A pair meets in every list that it shares and is given out by the first of
+    them in the common order.  full: the members bring their shingle sets; a pair
+    is given out only if it is linked and joins two components that nothing in
+    the two chunks has joined yet.
+    """
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        out_a, out_b = [], []
-        for one, two in zip(batch.column("one").to_pylist(), batch.column("two").to_pylist(), strict=True):
+        out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for pair, one, two in zip(*(batch.column(c).to_pylist() for c in ("pair", "one", "two")), strict=True):
             s1, s2 = (np.frombuffer(b"".join(m["signature"] for m in x), np.uint32).reshape(-1, p.coordinates) for x in (one, two))
             r1, r2 = (np.array([m["rep"] for m in x], np.int64) for x in (one, two))
             c1, c2 = (np.array([m["component"] for m in x], np.int64) for x in (one, two))
+            h2 = [np.frombuffer(m["held"], U64) for m in two] if full else []
+            order, own = _ordered(_pairs_of(s1), common, rank), pair >> 32
             for i in range(len(r1)):
-                other = np.flatnonzero((c2 != c1[i]) & (r2 != r1[i]))
-                if len(other):
-                    good = other[(s2[other] == s1[i]).sum(axis=1) >= p.threshold]
-                    out_a.append(np.minimum(r1[i], r2[good]))
-                    out_b.append(np.maximum(r1[i], r2[good]))
-        if out_a:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))], names=["a", "b"])
-
-
-def _remaining(postings: DataFrame, reps: DataFrame, labels: DataFrame, p: NearDuplicates) -> DataFrame:
-    """Candidate pairs of lists that hold several components beside the document that was their star's centre.
+                other = np.flatnonzero(c2 != c1[i])
+                before = order[i, : int(np.flatnonzero(order[i] == own)[0])]
+                other = other[~(s2[np.ix_(other, before)] == s1[i, before]).any(axis=1)]
+                good = other[(s2[other] == s1[i]).sum(axis=1) >= p.threshold]
+                if full and len(good):
+                    good = good[_linked(np.frombuffer(one[i]["held"], U64), [h2[k] for k in good], p.similarity)]
+                    good = good[np.unique(c2[good], return_index=True)[1]]
+                    for joined in c2[good]:
+                        c2[c2 == joined], c1[c1 == joined] = c1[i], c1[i]
+                out_a.append(np.minimum(r1[i], r2[good]))
+                out_b.append(np.maximum(r1[i], r2[good]))
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))], names=["a", "b"])
+
+
+def _remaining(postings: DataFrame, reps: DataFrame, labels: DataFrame, docs: DataFrame, p: NearDuplicates, common: np.ndarray, rank: np.ndarray) -> DataFrame:
+    """Links (a, b) found in lists that hold several components.
 
     The members of a list outside its largest component meet all of its members,
     chunk by chunk.  Members of the largest component don't meet each other.
+    Short lists give candidate pairs that are confirmed afterwards; members of
+    long ones bring their sets, so that a list of many similar texts that aren't
+    linked gives nothing out.
     """
-    known = postings.join(labels, "rep", "left").select("pair", "rep", F.coalesce("component", "rep").alias("component"), "centre").filter("rep != centre")
+    known = postings.join(labels, "rep", "left").select("pair", "rep", F.coalesce("component", "rep").alias("component"))
     sizes = known.groupBy("pair", "component").agg(F.count(F.lit(1)).alias("n"))
     lists = (
         sizes.groupBy("pair")
         .agg(F.count(F.lit(1)).alias("parts"), F.sum("n").alias("total"), F.max_by("component", F.struct("n", "component")).alias("main"))
         .filter("parts > 1")
-        .select("pair", "main", (F.floor((F.col("total") - 1) / p.block) + 1).alias("chunks"))
+        .select("pair", "main", (F.floor((F.col("total") - 1) / p.block) + 1).alias("chunks"), (F.col("total") > p.long).alias("long"))
     )
     lists = materialise(lists, "lists")
-    member = known.join(lists, "pair").join(reps.select("rep", "signature"), "rep")
-    item = F.struct("rep", "component", "signature")
+    member = materialise(known.join(lists, "pair").join(reps.select("rep", "signature"), "rep"), "members")
     chunk = F.pmod(F.xxhash64("rep"), F.col("chunks"))
-    every = member.groupBy("pair", chunk.alias("chunk")).agg(F.collect_list(item).alias("two"))
-    outside = member.filter("component != main").groupBy("pair", chunk.alias("own")).agg(F.collect_list(item).alias("one"))
-    return outside.join(every, "pair").select("one", "two").mapInArrow(partial(_compare, p=p), "a bigint, b bigint").distinct()
+
+    def met(member: DataFrame, item: Column, full: bool) -> DataFrame:
+        every = member.groupBy("pair", chunk.alias("chunk")).agg(F.collect_list(item).alias("two"))
+        outside = member.filter("component != main").groupBy("pair", chunk.alias("own")).agg(F.collect_list(item).alias("one"))
+        compare = partial(_compare, p=p, common=common, rank=rank, full=full)
+        return outside.join(every, "pair").select("pair", "one", "two").mapInArrow(compare, "a bigint, b bigint").distinct()
+
+    short = confirmed(met(member.filter("NOT long"), F.struct("rep", "component", "signature"), False), docs, p)
+    crowded = member.filter("long")
+    held = _held(crowded.select(F.col("rep").alias("doc_id")), docs, p)
+    return short.unionByName(met(crowded.join(held, "rep"), F.struct("rep", "component", "signature", "held"), True))
 
 
 def similar_links(docs: DataFrame, p: NearDuplicates = NearDuplicates()) -> tuple[DataFrame, DataFrame]:
@@ -268,12 +308,13 @@ def similar_links(docs: DataFrame, p: NearDuplicates = NearDuplicates()) -> tupl
     common, rank = _frequent_pairs(reps, p)
     posted = materialise(reps.select("rep", "signature").mapInArrow(partial(_post, p=p, common=common, rank=rank), "pair bigint, rep bigint"), "posted")
     shared = posted.groupBy("pair").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("centre")).filter("n > 1")
-    postings = materialise(posted.join(shared, "pair"), "postings")
-    stars = postings.filter("rep != centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
+    postings = materialise(posted.join(shared, "pair").select("pair", "rep", "centre"), "postings")
+    # each document goes with the centre it collides with most
+    collisions = postings.filter("rep != centre").groupBy("rep", "centre").agg(F.count(F.lit(1)).alias("n"))
+    stars = collisions.groupBy("rep").agg(F.max_by("centre", F.struct("n", -F.col("centre"))).alias("a")).select("a", F.col("rep").alias("b"))
     links = materialise(confirmed(_above_threshold(stars, reps, p), docs, p), "confirmed")
     labels = materialise(connected_components(links).withColumnRenamed("node", "rep"), "labels")
-    rest = _remaining(postings.filter("n > 2"), reps, labels, p)
-    more = materialise(confirmed(rest, docs, p), "confirmed")
+    more = materialise(_remaining(postings, reps, labels, docs, p, common, rank), "confirmed")
     return signed, links.unionByName(more)
 
 
