@@ -1,29 +1,5 @@
 """Tables written in the folder that all executors share, to cut lineage."""
 
-from __future__ import annotations
+from tessellum.storage import materialise, shared_folder
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session; only where that is unset, as in local tests, a folder of our own."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not folder:
-        folder = f"file://{tempfile.gettempdir()}/checkpoints/tessellum"
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return f"{folder.rstrip('/')}/tessellum-{spark.sparkContext.applicationId}"
-
-
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet in the shared folder and read it back.
-
-    The table outlives lost executors.  Tables stay until the folder of the
-    application is removed, since lazily evaluated results may still read them.
-    """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["materialise", "shared_folder"]
