@@ -84,15 +84,11 @@ def measures(docs: DataFrame) -> DataFrame:
         F.filter(F.split("t", GAP), lambda w: w != "").alias("words"),
         F.filter(F.split("t", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("lines"),
     )
-    hashed = split.select(
-        "*",
-        F.size("words").alias("n"),
-        F.when(
-            F.size("words") >= WINDOW,
-            F.transform(F.sequence(F.lit(1), F.size("words") - (WINDOW - 1)), lambda i: F.xxhash64(F.slice("words", i, WINDOW))),
-        )
-        .otherwise(F.array().cast("array<bigint>"))
-        .alias("hashes"),
+    # a window's hash is that of its words' hashes, taken from the array beside itself eight times, shifted
+    numbered = split.select("*", F.size("words").alias("n"), F.transform("words", lambda w: F.xxhash64(w)).alias("word_hashes"))
+    shifted = F.arrays_zip(*[F.slice("word_hashes", k + 1, F.greatest(F.col("n") - (WINDOW - 1), F.lit(0))).alias(f"w{k}") for k in range(WINDOW)])
+    hashed = numbered.select(
+        "doc_id", "t", "words", "lines", "n", F.transform(shifted, lambda x: F.xxhash64(*[x[f"w{k}"] for k in range(WINDOW)])).alias("hashes")
     )
     sorted_ = hashed.select(
         "*",
@@ -106,9 +102,12 @@ def measures(docs: DataFrame) -> DataFrame:
     )
     stop_words = sorted({w for x in STOP_WORDS.values() for w in x})
     is_stop = lambda w: F.lower(F.regexp_replace(w, r"[.,;:!?]+$", "")).isin(stop_words)
+    # The condition always holds.  Being no constant, it keeps filters on measures from being moved below this
+    # projection, where they would compute every array again for each mention.
+    n_words = F.when(F.rand(0) >= 0, F.col("n").cast("bigint"))
     return sorted_.select(
         "doc_id",
-        F.col("n").cast("bigint").alias("n_words"),
+        n_words.alias("n_words"),
         F.length(F.regexp_replace("t", GAP, "")).cast("bigint").alias("word_chars"),
         (F.length("t") - F.length(F.translate("t", SYMBOLS, ""))).cast("bigint").alias("n_symbols"),
         F.size("lines").cast("bigint").alias("n_lines"),
