@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessellum.storage import materialise
+
 
 def either_mean(a: Column, b: Column) -> Column:
     """Mean of two values; of one where the other is null; null where both are."""
@@ -76,9 +78,12 @@ def even_sample(df: DataFrame, order: list[str], n: int = 9) -> DataFrame:
 
 
 def numbered(df: DataFrame, order: list[str], name: str, start: int = 0) -> DataFrame:
-    """Rows with their dense position by a total order, by range partitions and their counts."""
+    """Rows with their dense position by a total order, by range partitions and their counts.
+
+    The ranges are written out, so that counts and rows are sure to mean the same ones.
+    """
     part = "__part"
-    sorted_ = df.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order).withColumn(part, F.spark_partition_id())
+    sorted_ = materialise(df.repartitionByRange(*[F.col(c) for c in order]).withColumn(part, F.spark_partition_id()), "ranges")
     own = F.row_number().over(Window.partitionBy(part).orderBy(*order))
     sized = sorted_.groupBy(part).agg(F.count(F.lit(1)).alias("__n"))
     before = F.sum("__n").over(Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1))
