@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,20 +14,37 @@ from tessellum.llm.storage import materialise
 #: Most ids that are broadcast to a filter; above it, the filter is a shuffled join.
 BROADCAST_IDS = 1_000_000
 
+#: Most bytes and rows of texts that go to a Python worker at once.
+BATCH_BYTES, BATCH_ROWS = "8m", "2000"
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _bounded(stage: Stage) -> Stage:
+    """The stage with small Arrow batches: workers of one stage after the other share an executor's memory."""
+
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
 def _without(docs: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """The rows of docs whose key is not among ids(key)."""
     ids = materialise(ids.distinct(), "ids")
     return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, key, "left_anti")
 
 
+@_bounded
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the quality classifier predicts good; all of them if labels teach it nothing."""
     return quality.good_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+@_bounded
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the one with the least doc_id.
 
@@ -44,6 +62,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return _without(left, repeated, "doc_id").select(*docs.columns).unionByName(one)
 
 
+@_bounded
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that are not contaminated by the benchmark.
 
@@ -56,11 +75,13 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return _without(keyed, judged.filter("contaminated").select(F.col("doc_id").alias(key)), key).select(*docs.columns)
 
 
+@_bounded
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with their secrets masked and n_chars brought up to date."""
     return secrets.redacted(docs)
 
 
+@_bounded
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The packed pieces of all documents."""
     return packing.pack(docs)

@@ -1,19 +1,30 @@
 """Vectorised word handling over Arrow string buffers.
 
-Texts are handled as UTF-8 bytes, a few megabytes at a time, so that memory is
+Texts are handled as UTF-8 bytes, about a megabyte at a time, so that memory is
 bounded by ``BLOCK_BYTES`` (or by the longest single text) and not by the batch
 that Spark sends.  Null texts count as empty.
 """
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
+
+_libc = ctypes.CDLL(None)
+
+
+def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; after the last the worker, which later stages use again, returns the memory that it no longer needs."""
+    yield from batches
+    pa.default_memory_pool().release_unused()
+    if hasattr(_libc, "malloc_trim"):
+        _libc.malloc_trim(0)
 
 U64 = np.uint64
 _MULT = 0x9E3779B97F4A7C15 | 1

@@ -111,7 +111,7 @@ def _index(batches: Iterator[pa.RecordBatch], vocabulary: np.ndarray) -> Iterato
     """Rows of the index: the ids, text hashes and word counts of a block, and its postings."""
     present = np.zeros(1 << 20, bool)
     present[vocabulary >> U64(44)] = True
-    for batch in batches:
+    for batch in at.released(batches):
         for block in at.blocks(batch.column("text")):
             w = at.words(block, at.ALPHANUMERIC)
             place = np.flatnonzero(present[w.hashes >> U64(44)])
@@ -166,7 +166,7 @@ FOUND = "doc_id bigint, text_hash bigint, n_words bigint, starts array<bigint>,
 def _search(batches: Iterator[pa.RecordBatch], tests: TestWindows, order: np.ndarray, slop: int) -> Iterator[pa.RecordBatch]:
     """Of each document, the merged spans of exact matches, the items matched and the number of windows matched by proximity."""
     rank_terms = np.take_along_axis(tests.terms, order, axis=1)
-    for batch in batches:
+    for batch in at.released(batches):
         for row in batch.to_pylist():
             ids, nulls, texts, n_words = (_unpacked(row[k], t) for k, t in (("ids", np.int64), ("id_nulls", bool), ("texts", np.int64), ("n_words", np.int64)))
             terms, counts, steps = (_unpacked(row[k], np.int32) for k in ("terms", "counts", "places"))

@@ -106,7 +106,7 @@ SIGNED = "doc_id bigint, n_shingles bigint, fp1 bigint, fp2 bigint, signature bi
 
 def _sign(batches: Iterator[pa.RecordBatch], p: NearDuplicates) -> Iterator[pa.RecordBatch]:
     a, b = _coefficients(p.coordinates)
-    for batch in batches:
+    for batch in at.released(batches):
         ids = batch.column("doc_id")
         for block in at.blocks(batch.column("text")):
             sets, offsets = shingle_sets(block, p.width)
@@ -153,7 +153,7 @@ def _ordered(pairs: np.ndarray, common: np.ndarray, rank: np.ndarray) -> np.ndar
 
 
 def _post(batches: Iterator[pa.RecordBatch], p: NearDuplicates, common: np.ndarray, rank: np.ndarray) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in at.released(batches):
         if not batch.num_rows:
             continue
         pairs = _pairs_of(_matrix(batch.column("signature"), p.coordinates))
@@ -175,7 +175,7 @@ def _frequent_pairs(reps: DataFrame, p: NearDuplicates) -> tuple[np.ndarray, np.
 
 def _agree(batches: Iterator[pa.RecordBatch], p: NearDuplicates) -> Iterator[pa.RecordBatch]:
     """Keeps the pairs whose signatures agree in enough coordinates."""
-    for batch in batches:
+    for batch in at.released(batches):
         if batch.num_rows:
             same = (_matrix(batch.column("sa"), p.coordinates) == _matrix(batch.column("sb"), p.coordinates)).sum(axis=1)
             yield batch.filter(pa.array(same >= p.threshold)).select(["a", "b"])
@@ -188,7 +188,7 @@ def _above_threshold(pairs: DataFrame, reps: DataFrame, p: NearDuplicates) -> Da
 
 
 def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in at.released(batches):
         for block in at.blocks(batch.column("text")):
             sets, offsets = shingle_sets(block, width)
             held = [sets[offsets[i] : offsets[i + 1]].tobytes() for i in range(len(block))]
@@ -196,7 +196,7 @@ def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBa
 
 
 def _confirm(batches: Iterator[pa.RecordBatch], similarity: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in at.released(batches):
         keep = []
         for x, y in zip(batch.column("ha").to_pylist(), batch.column("hb").to_pylist(), strict=True):
             a, b = np.frombuffer(x, U64), np.frombuffer(y, U64)
@@ -241,7 +241,7 @@ def _compare(batches: Iterator[pa.RecordBatch], p: NearDuplicates, common: np.nd
     is given out only if it is linked and joins two components that nothing in
     the two chunks has joined yet.
     """
-    for batch in batches:
+    for batch in at.released(batches):
         out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for pair, one, two in zip(*(batch.column(c).to_pylist() for c in ("pair", "one", "two")), strict=True):
             s1, s2 = (np.frombuffer(b"".join(m["signature"] for m in x), np.uint32).reshape(-1, p.coordinates) for x in (one, two))

@@ -293,7 +293,7 @@ class _Encoder:
 def _cut(batches: Iterator[pa.RecordBatch], p: Packing, with_ids: bool) -> Iterator[pa.RecordBatch]:
     encoder = _Encoder(p.tokenizer)
     end = np.array([p.separator], "<u4")
-    for batch in batches:
+    for batch in at.released(batches):
         for block in at.blocks(batch.column("text")):
             ids, offsets = encoder.block(block)
             ids = ids.astype("<u4")

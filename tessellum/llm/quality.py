@@ -117,7 +117,7 @@ def statistics(block: at.TextBlock) -> np.ndarray:
 
 
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in at.released(batches):
         for block in at.blocks(batch.column("text")):
             x = statistics(block)
             yield pa.RecordBatch.from_arrays(
@@ -202,7 +202,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, spec: QualityModelSpec =
 
 
 def _keep_good(batches: Iterator[pa.RecordBatch], model: Discriminant, threshold: float) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in at.released(batches):
         good = [model.log_ratio(statistics(block)) for block in at.blocks(batch.column("text"))]
         if good:
             score = 1 / (1 + np.exp(-np.clip(np.concatenate(good), -500, 500)))

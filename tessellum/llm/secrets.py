@@ -224,7 +224,7 @@ def secret_spans(docs: DataFrame, p: SecretScan = SecretScan(), models: MarkovPa
 
 def _redact(batches: Iterator[pa.RecordBatch], p: SecretScan, models: MarkovPair | None, mask: str) -> Iterator[pa.RecordBatch]:
     models = models or _default_models(p)
-    for batch in batches:
+    for batch in at.released(batches):
         column = batch.column("text")
         scanned = pa.Table.from_batches(list(_scan(iter([batch.select(["doc_id", "text"])]), p, models))) if batch.num_rows else None
         texts = column.to_pylist()
