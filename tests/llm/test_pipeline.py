@@ -2,6 +2,7 @@
 
 import corpus_pipeline
 from tessellum.llm import decontam, minhash, quality, secrets
+from tests.llm.test_dedup_and_benchmark import brute_components, crowd
 
 
 def test_stages(spark, documents, folder):
@@ -32,3 +33,11 @@ def test_stages_take_awkward_and_empty_documents(spark, awkward, empty, folder):
         assert stage(spark, empty, folder).count() == 0
     for name, stage in corpus_pipeline.STAGES[1:4]:
         assert stage(spark, awkward, folder).count() == (7 if "dedup" in name else 8)
+
+
+def test_near_copies_of_four_fifths_are_dropped(spark, make, folder):
+    rows = crowd()
+    want = {d for d, (_, _, kept) in brute_components(rows, 80).items() if kept}
+    assert want < {d for d, (_, _, kept) in brute_components(rows, 85).items() if kept}
+    df = make([(d, t, None, None, None) for d, t in rows])
+    assert {r["doc_id"] for r in corpus_pipeline.near_duplicate_stage(spark, df, folder).collect()} == want
