@@ -1,13 +1,15 @@
 """License scan by conditional compression.
 
-A block of lines that mentions a license is compressed alone and with each
-template as a raw dictionary; templates are ranked by how much smaller that
-makes it.  The best ones are confirmed by their wording: the words of the
-template that the block lacks, in order, must be few and none of them a number.
+In windows about as long as a template around each mention of a license, the
+template's words are aligned; those that the text lacks, in order, must be few
+and none of them a number.  The span of the wording is then compressed alone and
+with the template as a raw dictionary, which must make it smaller by a given
+share, so that the length of the text around a notice does not matter.
 """
 
 from __future__ import annotations
 
+import bisect
 import difflib
 import re
 from collections.abc import Iterator
@@ -52,7 +54,9 @@ TEMPLATES: list[tuple[str, str]] = [
 ]
 
 HINT = re.compile(rb"licen[sc]e|copyright|permission is|permission to use|redistribut|free software|public domain|creative commons|spdx", re.IGNORECASE)
+TEXT_HINT = re.compile(HINT.pattern.decode(), re.IGNORECASE)
 WORD = re.compile(r"[^\W_]+")
+CLOSING = re.compile(r"[.)\"']*")
 
 
 @dataclass(frozen=True)
@@ -60,13 +64,11 @@ class LicenseScan:
     """Parameters.
 
     gap: lines between two mentions that still belong to one block.
-    ranked: how many of the best templates are compared word by word.
-    least_reduction: least share of a block's compressed size that a template must save.
-    missing: most words of a template, as a share, that a block may lack.
+    least_reduction: least share of its wording's compressed size that a template must save.
+    missing: most words of a template, as a share, that a notice may lack.
     """
 
     gap: int = 2
-    ranked: int = 4
     least_reduction: float = 0.2
     missing: float = 0.1
 
@@ -81,42 +83,74 @@ def _compressors():
     return plain, made, [[w.lower() for w in WORD.findall(text)] for _, text in TEMPLATES]
 
 
-def reductions(block: str) -> list[tuple[float, int]]:
-    """(share of the compressed size saved, template), best first."""
+@dataclass(frozen=True)
+class Notice:
+    """A template found in a block: its span in characters, the share of the span's compressed size that it saves, and words."""
+
+    start: int
+    end: int
+    template: int
+    reduction: float
+    lacking: tuple[str, ...]
+    added: tuple[str, ...]
+
+    @property
+    def rank(self) -> tuple[float, int, int]:
+        size = len(_compressors()[2][self.template])
+        return len(self.lacking) / size, len(self.added), -size
+
+
+def reduction(span: str, template: int) -> float:
+    """The share of a span's compressed size that a template saves."""
     plain, made, _ = _compressors()
-    raw = block.encode()
+    raw = span.encode()
     alone = len(plain.compress(raw))
-    return sorted(((alone - len(c.compress(raw))) / alone, -i) for i, c in enumerate(made))[::-1]
+    return (alone - len(made[template].compress(raw))) / alone
+
+
+def windows(n_words: int, mentions: list[int], size: int) -> Iterator[tuple[int, int]]:
+    """Word ranges, at most three templates long, in which each mention has a template's length and some more on both sides."""
+    around, covered = size + max(8, size // 4), -1
+    for m in mentions:
+        if m > covered:
+            covered = m + around
+            yield max(0, m - around), min(n_words, covered + around)
 
 
-def wording(block: str, template: int) -> tuple[list[str], list[str]]:
-    """(words of the template that the block lacks, words of the block amid the template's), compared in order."""
+def located(block: str, words: list[tuple[str, int, int]], low: int, high: int, template: int, p: LicenseScan) -> Notice | None:
+    """The template's wording among the words low to high of a block, or None."""
     want = _compressors()[2][template]
-    have = [w.lower() for w in WORD.findall(block)]
-    lacking, added = [], []
+    have = [w for w, _, _ in words[low:high]]
+    most, there = p.missing * len(want), set(have)
+    if sum(w not in there for w in want) > most:
+        return None
+    matched, lacking, added = [], [], []
     for what, a, b, c, d in difflib.SequenceMatcher(None, want, have, autojunk=False).get_opcodes():
+        if what == "equal":
+            matched += range(c, d)
         if what in ("delete", "replace"):
             lacking += want[a:b]
         if what in ("insert", "replace") and 0 < a < len(want):
             added += have[c:d]
-    return lacking, added
-
-
-def recognised(block: str, p: LicenseScan) -> tuple[str, float, list[str], list[str]] | None:
-    """(license, size reduction, words lacking, words added) of a block, or None."""
-    best = None
-    for saved, minus in reductions(block)[: p.ranked]:
-        i = -minus
-        if saved < p.least_reduction:
-            break
-        lacking, added = wording(block, i)
-        size = len(_compressors()[2][i])
-        if len(lacking) > p.missing * size or any(w.isdigit() for w in lacking):
-            continue
-        key = (len(lacking) / size, len(added), -size)
-        if best is None or key < best[0]:
-            best = (key, (TEMPLATES[i][0], saved, lacking, added))
-    return best[1] if best else None
+    if not matched or len(lacking) > most or any(w.isdigit() for w in lacking):
+        return None
+    start, end = words[low + matched[0]][1], words[low + matched[-1]][2]
+    end += len(CLOSING.match(block, end).group())
+    saved = reduction(block[start:end], template)
+    return Notice(start, end, template, saved, tuple(lacking), tuple(added)) if saved >= p.least_reduction else None
+
+
+def recognised(block: str, p: LicenseScan) -> list[Notice]:
+    """The notices of a block."""
+    words = [(m.group().lower(), m.start(), m.end()) for m in WORD.finditer(block)]
+    starts = [a for _, a, _ in words]
+    mentions = sorted({max(0, bisect.bisect_right(starts, m.start()) - 1) for m in TEXT_HINT.finditer(block)})
+    found = []
+    for i, want in enumerate(_compressors()[2]):
+        for low, high in windows(len(words), mentions, len(want)):
+            if notice := located(block, words, low, high, i, p):
+                found.append(notice)
+    return sorted(found, key=lambda n: n.rank)[:1]
 
 
 def candidate_blocks(text: bytes, gap: int) -> list[tuple[int, int]]:
@@ -137,7 +171,7 @@ SCANNED = "doc_id bigint, n_candidates bigint, licenses string, spans string, n_
 
 
 def _scan(batches: Iterator[pa.RecordBatch], p: LicenseScan) -> Iterator[pa.RecordBatch]:
-    known: dict[bytes, tuple | None] = {}
+    known: dict[bytes, list[Notice]] = {}
     for batch in batches:
         for block in at.blocks(batch.column("text")):
             raw = block.data.tobytes()
@@ -156,12 +190,12 @@ def _scan(batches: Iterator[pa.RecordBatch], p: LicenseScan) -> Iterator[pa.Reco
                         known[part] = recognised(part.decode("utf-8", "replace"), p)
                     if known[part]:
                         at_ = len(own[:a].decode("utf-8", "replace"))
-                        found.append((at_, at_ + len(part.decode("utf-8", "replace")), *known[part]))
+                        found += [(at_ + x.start, at_ + x.end, TEMPLATES[x.template][0], x) for x in known[part]]
                 if found:
                     names[i] = ",".join(sorted({x[2] for x in found}))
                     spans[i] = ",".join(f"{x[2]}:{x[0]}:{x[1]}" for x in found)
-                    differences[i] = sum(len(x[4]) + len(x[5]) for x in found)
-                    saved[i] = max(x[3] for x in found)
+                    differences[i] = sum(len(x[3].lacking) + len(x[3].added) for x in found)
+                    saved[i] = max(x[3].reduction for x in found)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").slice(block.first, n),
@@ -179,9 +213,9 @@ def license_scan(docs: DataFrame, p: LicenseScan = LicenseScan()) -> DataFrame:
     """(doc_id, n_candidates, licenses, spans, n_differences, reduction) for each row of docs(doc_id, text, ...).
 
     licenses are the identifiers found, sorted and joined by commas; spans the
-    blocks as identifier:start:end in characters; n_differences the words in
+    notices as identifier:start:end in characters; n_differences the words in
     which their wording differs from the templates; reduction the largest share
-    of a block's compressed size that its template saves.  Null and empty texts
+    of a notice's compressed size that its template saves.  Null and empty texts
     hold none.  Repeated rows and null ids are scanned like any other row; other
     columns are ignored; an empty table gives an empty one.
     """

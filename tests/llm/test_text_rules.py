@@ -76,6 +76,16 @@ def test_licenses(make, awkward, empty):
     assert licenses.license_scan(awkward).count() == 8 and licenses.license_scan(empty).count() == 0
 
 
+def scanned(make, texts):
+    return [r[2] for r in licenses.license_scan(make([(i, t, None, None, None) for i, t in enumerate(texts)])).orderBy("doc_id").collect()]
+
+
+def test_licenses_in_long_lines(make):
+    prose = " ".join(f"some{i} ordinary{i * 7} words{i % 5} of prose" for i in range(400))
+    got = scanned(make, [f"{prose[:k]} {t} {prose[:k]}" for _, t in licenses.TEMPLATES for k in (60, 500, 9000)])
+    assert got == [n for n, _ in licenses.TEMPLATES for _ in range(3)]
+
+
 def brute_rules(text):
     text = text or ""
     w = re.findall(r"[^\x20\x09-\x0D]+", text)
