@@ -85,14 +85,16 @@ def _compressors():
 
 @dataclass(frozen=True)
 class Notice:
-    """A template found in a block: its span in characters, the share of the span's compressed size that it saves, and words."""
+    """A template found in a block: its span in characters, the share of the span's compressed size that it saves, the
+    template's words that it lacks, and which words of the block it adds and matches."""
 
     start: int
     end: int
     template: int
     reduction: float
     lacking: tuple[str, ...]
-    added: tuple[str, ...]
+    added: tuple[int, ...]
+    matched: frozenset[int]
 
     @property
     def rank(self) -> tuple[float, int, int]:
@@ -117,40 +119,51 @@ def windows(n_words: int, mentions: list[int], size: int) -> Iterator[tuple[int,
             yield max(0, m - around), min(n_words, covered + around)
 
 
-def located(block: str, words: list[tuple[str, int, int]], low: int, high: int, template: int, p: LicenseScan) -> Notice | None:
-    """The template's wording among the words low to high of a block, or None."""
+def located(block: str, words: list[tuple[str, int, int]], low: int, high: int, template: int, p: LicenseScan) -> Iterator[Notice]:
+    """The places of a template's wording among the words low to high of a block; what one leaves on its sides is searched again."""
     want = _compressors()[2][template]
-    have = [w for w, _, _ in words[low:high]]
-    most, there = p.missing * len(want), set(have)
-    if sum(w not in there for w in want) > most:
-        return None
-    matched, lacking, added = [], [], []
-    for what, a, b, c, d in difflib.SequenceMatcher(None, want, have, autojunk=False).get_opcodes():
-        if what == "equal":
-            matched += range(c, d)
-        if what in ("delete", "replace"):
-            lacking += want[a:b]
-        if what in ("insert", "replace") and 0 < a < len(want):
-            added += have[c:d]
-    if not matched or len(lacking) > most or any(w.isdigit() for w in lacking):
-        return None
-    start, end = words[low + matched[0]][1], words[low + matched[-1]][2]
-    end += len(CLOSING.match(block, end).group())
-    saved = reduction(block[start:end], template)
-    return Notice(start, end, template, saved, tuple(lacking), tuple(added)) if saved >= p.least_reduction else None
+    most, open_ = p.missing * len(want), [(low, high)]
+    while open_:
+        low, high = open_.pop()
+        have = [w for w, _, _ in words[low:high]]
+        there = set(have)
+        if sum(w not in there for w in want) > most:
+            continue
+        matched, lacking = [], []
+        for what, a, b, c, d in difflib.SequenceMatcher(None, want, have, autojunk=False).get_opcodes():
+            if what == "equal":
+                matched += range(low + c, low + d)
+            if what in ("delete", "replace"):
+                lacking += want[a:b]
+        if not matched:
+            continue
+        first, last = matched[0], matched[-1]
+        open_ += [(low, first), (last + 1, high)]
+        if len(lacking) > most or any(w.isdigit() for w in lacking):
+            continue
+        start, end = words[first][1], words[last][2]
+        end += len(CLOSING.match(block, end).group())
+        saved = reduction(block[start:end], template)
+        if saved >= p.least_reduction:
+            between = set(range(first, last)).difference(matched)
+            yield Notice(start, end, template, saved, tuple(lacking), tuple(sorted(between)), frozenset(matched))
 
 
 def recognised(block: str, p: LicenseScan) -> list[Notice]:
-    """The notices of a block."""
+    """The notices of a block, least differences first; one whose words all belong to those before it is none."""
     words = [(m.group().lower(), m.start(), m.end()) for m in WORD.finditer(block)]
     starts = [a for _, a, _ in words]
     mentions = sorted({max(0, bisect.bisect_right(starts, m.start()) - 1) for m in TEXT_HINT.finditer(block)})
     found = []
     for i, want in enumerate(_compressors()[2]):
         for low, high in windows(len(words), mentions, len(want)):
-            if notice := located(block, words, low, high, i, p):
-                found.append(notice)
-    return sorted(found, key=lambda n: n.rank)[:1]
+            found += located(block, words, low, high, i, p)
+    chosen, used = [], set()
+    for notice in sorted(found, key=lambda n: (n.rank, n.start)):
+        if not notice.matched <= used:
+            chosen.append(notice)
+            used |= notice.matched
+    return sorted(chosen, key=lambda n: n.start)
 
 
 def candidate_blocks(text: bytes, gap: int) -> list[tuple[int, int]]:

@@ -86,6 +86,13 @@ def test_licenses_in_long_lines(make):
     assert got == [n for n, _ in licenses.TEMPLATES for _ in range(3)]
 
 
+def test_licenses_side_by_side(make):
+    five = ["Released under the MIT License.", "Licensed under the Apache License, Version 2.0.", "Licensed under the BSD 2-Clause License.", "Licensed under CC BY 4.0.", "Licensed under CC BY-SA 4.0."]
+    dual = "Licensed under the MIT license or the Apache License, Version 2.0."
+    names = "Apache-2.0,BSD-2-Clause,CC-BY-4.0,CC-BY-SA-4.0,MIT"
+    assert scanned(make, ["\n".join(five[:2]), "\n".join(five), " ".join(five), dual]) == ["Apache-2.0,MIT", names, names, "Apache-2.0,MIT"]
+
+
 def brute_rules(text):
     text = text or ""
     w = re.findall(r"[^\x20\x09-\x0D]+", text)
