@@ -2,7 +2,8 @@
 
 In windows about as long as a template around each mention of a license, the
 template's words are aligned; those that the text lacks, in order, must be few
-and none of them a number.  The span of the wording is then compressed alone and
+and none of them a number, and those that it adds must not name another license
+or version.  The span of the wording is then compressed alone and
 with the template as a raw dictionary, which must make it smaller by a given
 share, so that the length of the text around a notice does not matter.
 """
@@ -51,11 +52,29 @@ TEMPLATES: list[tuple[str, str]] = [
     ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work. CC0 1.0 Universal."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("CC-BY-ND-4.0", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
+    ("CC-BY-NC-SA-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."),
+    ("CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0."),
+    ("CC-BY-NC-ND-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License."),
+    ("LGPL-2.1", "This library is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    ("LGPL-2.0", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Library General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("LGPL-3.0", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
 ]
+TEMPLATES += [(name, f"SPDX-License-Identifier: {name}") for name in dict.fromkeys(name for name, _ in TEMPLATES)]
+
+# Words that, added to a template's, name another license.
+OTHER = {"lesser", "affero", "sa", "nc", "nd", "sharealike", "noncommercial", "noderivatives", "noderivs", "clear", "modified"}
 
 HINT = re.compile(rb"licen[sc]e|copyright|permission is|permission to use|redistribut|free software|public domain|creative commons|spdx", re.IGNORECASE)
 TEXT_HINT = re.compile(HINT.pattern.decode(), re.IGNORECASE)
 WORD = re.compile(r"[^\W_]+")
+#: A tag: one expression of identifiers on one line.
+TAG = re.compile(r"spdx-license-identifier[ \t]*:?[ \t]*(?:[\w.+()-]+[ \t]+(?:or|and|with)[ \t]+)*\(*[\w.+-]+", re.IGNORECASE)
+TAG_ENDS = re.compile(r"(?:-only|-or-later|\+)?(?![-.+]?[^\W_])", re.IGNORECASE)
+VERSION_GOES_ON = re.compile(r"\.(?!0+(?!\d))\d")
 CLOSING = re.compile(r"[.)\"']*")
 
 
@@ -149,6 +168,23 @@ def located(block: str, words: list[tuple[str, int, int]], low: int, high: int,
             yield Notice(start, end, template, saved, tuple(lacking), tuple(sorted(between)), frozenset(matched))
 
 
+def another(notice: Notice, block: str, words: list[tuple[str, int, int]], used: set[int]) -> bool:
+    """Whether the words about a notice, but for those of notices used before, make it another license than its template's."""
+    name, text = TEMPLATES[notice.template]
+    end = words[max(notice.matched)][2]
+    if text.startswith("SPDX"):
+        return not (TAG.fullmatch(block[notice.start : end]) and TAG_ENDS.match(block, end))
+    if text.rstrip(".")[-1].isdigit() and VERSION_GOES_ON.match(block, end):
+        return True
+    versioned = any(w.isdigit() for w in _compressors()[2][notice.template])
+    telling = [k for k in notice.added if (w := words[k][0]) in OTHER or (w.isdigit() and versioned) or (w == "library" and words[k + 1][0] == "general")]
+    if not telling:
+        return False
+    # another notice stands between its words: it must have its own name beside that
+    own = {words[k][0] for k in notice.matched - used}
+    return not set(telling) <= used or not own & {w.lower() for w in WORD.findall(name)}
+
+
 def recognised(block: str, p: LicenseScan) -> list[Notice]:
     """The notices of a block, least differences first; one whose words all belong to those before it is none."""
     words = [(m.group().lower(), m.start(), m.end()) for m in WORD.finditer(block)]
@@ -160,7 +196,7 @@ def recognised(block: str, p: LicenseScan) -> list[Notice]:
             found += located(block, words, low, high, i, p)
     chosen, used = [], set()
     for notice in sorted(found, key=lambda n: (n.rank, n.start)):
-        if not notice.matched <= used:
+        if not notice.matched <= used and not another(notice, block, words, used):
             chosen.append(notice)
             used |= notice.matched
     return sorted(chosen, key=lambda n: n.start)

@@ -93,6 +93,29 @@ def test_licenses_side_by_side(make):
     assert scanned(make, ["\n".join(five[:2]), "\n".join(five), " ".join(five), dual]) == ["Apache-2.0,MIT", names, names, "Apache-2.0,MIT"]
 
 
+def test_licenses_are_not_taken_for_others(make):
+    long = next(t for n, t in licenses.TEMPLATES if n == "GPL-2.0" and len(t) > 100)
+    lesser = long.replace("program", "library").replace("General", "Lesser General").replace("version 2", "version 2.1")
+    want = {
+        "Licensed under CC BY-NC-SA 4.0.": "CC-BY-NC-SA-4.0",
+        "Released under the Modified MIT License.": "",
+        long: "GPL-2.0",
+        "1. " + long.replace("; you", ";\n# you"): "GPL-2.0",
+        lesser: "LGPL-2.1",
+        lesser.replace("library", "program"): "LGPL-2.1",
+        lesser.replace("2.1", "2.2"): "",
+        "This work is licensed under the GNU General Public License, version 2.1.": "",
+        "SPDX-License-Identifier: MIT": "MIT",
+        "SPDX-License-Identifier: MIT-0": "",
+        "// SPDX-License-Identifier: (MIT OR Apache-2.0)": "Apache-2.0,MIT",
+        "SPDX-License-Identifier: GPL-2.0-only\nint main": "GPL-2.0",
+        "SPDX-License-Identifier: CC-BY-NC-SA-4.0": "CC-BY-NC-SA-4.0",
+        "SPDX-License-Identifier: Zlib\nfrom MIT": "",
+    }
+    got = scanned(make, list(want))
+    assert dict(zip(want, got, strict=True)) == want
+
+
 def brute_rules(text):
     text = text or ""
     w = re.findall(r"[^\x20\x09-\x0D]+", text)
