@@ -346,6 +346,17 @@ def gpx_parse(spark, sf_dir):
     return texts.parse_gpx(made).select("seq", F.round("time_sec", 3).alias("time_sec"), "lat", "lon", "alt")
 
 
+@query(f"""SELECT user_id, seq, round(t - min(t) OVER (PARTITION BY user_id), 3) AS time_sec, round(20 + value / 100, 6) AS lat, round(110 + value / 100, 6) AS lon, 0.0::DOUBLE AS alt
+FROM (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS seq, value, floor({_SECONDS}) AS t FROM events)""")
+def gpx_tracks(spark, sf_dir):
+    """A track made of each user's events and parsed again; elevations are missing."""
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value")
+    point = F.format_string('<trkpt lat="%.6f" lon="%.6f"><time>%s</time></trkpt>', 20 + F.col("value") / 100, 110 + F.col("value") / 100, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ts", "event_id", point.alias("p")))), lambda x: x["p"]), "")
+    made = events.groupBy("user_id").agg(F.concat(F.lit("<gpx><trk><trkseg>"), body, F.lit("</trkseg></trk></gpx>")).alias("value"))
+    return texts.parse_gpx_keyed(made, "user_id").select("user_id", "seq", F.round("time_sec", 3).alias("time_sec"), "lat", "lon", "alt")
+
+
 @query("""SELECT least(n, 10) AS n, l_returnflag FROM (SELECT l_returnflag, count(*) AS n FROM lineitem GROUP BY l_returnflag)""")
 def hash_sample(spark, sf_dir):
     """How many rows a deterministic sample of at most ten a group holds."""

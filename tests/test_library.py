@@ -262,6 +262,18 @@ def test_gpx(spark):
     assert got == [(0.0, 1.0, 2.0, 0.0), (1.25, 3.0, 2.0, 7.5)]
 
 
+def test_gpx_files_each_start_at_their_own_first_point(spark):
+    point = '<trkpt lat="{}" lon="2"><time>{}</time></trkpt>'
+    rows = []
+    for name, times in {"a": ["x", "2024-01-01T00:00:05Z", "2024-01-01T00:00:07Z"], "b": ["2024-01-02T00:00:00Z", "2024-01-02T00:01:00Z"], "c": []}.items():
+        body = "".join(point.format(i, t) for i, t in enumerate(times))
+        rows.append((name, f"<gpx><trk><trkseg>{body}</trkseg></trk></gpx>"))
+    files = spark.createDataFrame(rows, "file string, value string")
+    got = sorted(tuple(r) for r in texts.parse_gpx_keyed(files, "file").collect())
+    assert got == [("a", 1, 0.0, 1.0, 2.0, 0.0), ("a", 2, 2.0, 2.0, 2.0, 0.0), ("b", 0, 0.0, 0.0, 2.0, 0.0), ("b", 1, 60.0, 1.0, 2.0, 0.0)]
+    assert sorted(r["time_sec"] for r in texts.parse_gpx(files).collect()) == [0.0, 0.0, 2.0, 60.0]
+
+
 def test_telemetry_choice(spark):
     none, some = spark.createDataFrame([], schemas.TELEMETRY), spark.createDataFrame([(0, 0.0, 1.0, 2.0, 3.0)], schemas.TELEMETRY)
     assert texts.telemetry(none, some)[1] == "embedded" and texts.telemetry(some, some)[1] == "srt"
