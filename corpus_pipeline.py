@@ -52,18 +52,25 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, linked at 0.8 or more: the one with the least doc_id.
 
-    Of rows that share a doc_id the least, by all columns, stays; rows without a
-    doc_id stay.
+    Rows are told apart by a hash of doc_id and text.  Of rows with the same
+    doc_id and text the least, by all columns, stays; rows without a doc_id stay.
     """
-    found = materialise(minhash.near_duplicates(docs, NEAR), "near")
-    left = _without(docs, found.filter("NOT kept").select("doc_id"), "doc_id")
-    repeated = materialise(found.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated")
+    key = "__row_key"
+    keyed = docs.withColumn(key, F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text")))
+    found = materialise(minhash.near_duplicates(keyed.select(F.col(key).alias("doc_id"), "text"), NEAR), "near")
+    rows = found.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias(key)).agg(F.count(F.lit(1)).alias("n"), F.min("component_id").alias("component"), F.min("n_shingles").alias("n_shingles"))
+    rows = materialise(rows, "rows")
+    grouped = materialise(rows.groupBy("component").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("component"), "grouped")
+    members = rows.filter("n_shingles > 0").join(grouped, "component", "left_semi").select(key, "component").join(keyed.select(key, "doc_id").distinct(), key)
+    members = materialise(members, "members")
+    least = members.groupBy("component").agg(F.min_by(key, F.struct("doc_id", key)).alias(key))
+    left = _without(keyed, members.select(key).join(least.select(key), key, "left_anti"), key)
+    repeated = materialise(rows.filter("n > 1").select(key), "repeated")
     if repeated.isEmpty():
-        return left
-    several = left.join(repeated, "doc_id", "left_semi")
-    row = F.struct(*[F.col(c) for c in docs.columns if c != "doc_id"])
-    one = several.groupBy("doc_id").agg(F.min(row).alias("row")).select("doc_id", "row.*").select(*docs.columns)
-    return _without(left, repeated, "doc_id").select(*docs.columns).unionByName(one)
+        return left.select(*docs.columns)
+    row = F.struct(*[F.col(c) for c in docs.columns])
+    one = left.join(repeated, key, "left_semi").groupBy(key).agg(F.min(row).alias("row")).select("row.*").select(*docs.columns)
+    return _without(left, repeated, key).select(*docs.columns).unionByName(one)
 
 
 @_bounded

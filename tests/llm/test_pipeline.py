@@ -41,3 +41,11 @@ def test_near_copies_of_four_fifths_are_dropped(spark, make, folder):
     assert want < {d for d, (_, _, kept) in brute_components(rows, 85).items() if kept}
     df = make([(d, t, None, None, None) for d, t in rows])
     assert {r["doc_id"] for r in corpus_pipeline.near_duplicate_stage(spark, df, folder).collect()} == want
+
+
+def test_rows_that_share_an_id_are_told_apart(spark, make, folder):
+    texts = {c: " ".join(f"{c}{i}" for i in range(40)) for c in "abc"}
+    rows = [(1, texts["a"]), (2, texts["b"]), (2, texts["c"]), (2, texts["c"]), (3, texts["a"] + " x"), (0, texts["c"]), (None, texts["a"]), (4, ""), (5, None)]
+    df = make([(d, t, None, None, None) for d, t in rows])
+    got = sorted(((r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicate_stage(spark, df, folder).collect()), key=repr)
+    assert got == sorted([(1, texts["a"]), (2, texts["b"]), (0, texts["c"]), (None, texts["a"]), (4, ""), (5, None)], key=repr)
