@@ -2,10 +2,14 @@
 
 Only the histogram of piece lengths decides the plan, and it has at most
 `capacity` entries however many documents there are.  Large lengths are rounded
-up within groups of equal cardinality, configurations of the few rounded sizes
-are optimised by column generation, real lengths then take the place of the
-rounded ones, and what is left goes best-fit into the gaps.  Bins that look the
-same are kept as one run with a count.
+up within groups of equal cardinality and configurations of the few rounded sizes
+are optimised by column generation.  Each configuration is used as often as the
+optimum says, in whole numbers, with real pieces in its places: the longest of
+each place's group, and in the last place the longest that the sequence still
+has room for, so that what rounding up lost is taken back.  What the groups lack
+then is grouped and configured again, in a few rounds.  The small pieces, and the
+few large ones that no configuration took, go best-fit into the room that is left
+and into further sequences.  Sequences that look the same are one run with a count.
 
 Every piece then finds its place from its rank among the pieces of its length:
 the plan says which ranks go to which run of sequences and at which offset.
@@ -14,7 +18,7 @@ the plan says which ranks go to which run of sequences and at which offset.
 from __future__ import annotations
 
 import zlib
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import partial
@@ -35,17 +39,20 @@ class Packing:
 
     capacity: tokens of a sequence.
     separator: the id after each document's tokens.
-    groups, slack: candidates for the number of groups of large lengths, and for
-        the room that a configured sequence may have; the plan with the fewest
-        sequences is taken.
+    groups: most groups of large lengths.
+    least: fewest pieces of a group; fewer pieces make fewer groups.
+    slack: the room that a sequence may have beyond that of its configuration.
+    rounds: how often what is left of the large pieces is grouped again.
     large: a length is large if it is above capacity / large.
     cell: about how many pieces of one length are ranked in one task.
     """
 
     capacity: int = 2048
     separator: int = 0
-    groups: tuple[int, ...] = (24,)
-    slack: tuple[int, ...] = (2, 8, 32)
+    groups: int = 32
+    least: int = 4
+    slack: int = 2
+    rounds: int = 12
     large: int = 8
     cell: int = 4096
     tokenizer: str = wordbpe.DEFAULT
@@ -58,34 +65,43 @@ class Run:
     count: int
     room: int
     slots: list[tuple[int, int]] = field(default_factory=list)
+    configured: bool = False
 
 
 def _knapsack(values: np.ndarray, sizes: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
-    """The best multiset of sizes, as often as wanted, within capacity: (value, multiplicities)."""
-    best = np.zeros(capacity + 1)
-    taken = np.full(capacity + 1, -1)
-    least = int(sizes.min())
-    for room in range(least, capacity + 1):
-        fit = sizes <= room
-        worth = np.where(fit, best[np.maximum(room - sizes, 0)] + values, -1.0)
-        i = int(worth.argmax())
-        if worth[i] > best[room - 1] + 1e-12:
-            best[room], taken[room] = worth[i], i
-        else:
-            best[room] = best[room - 1]
+    """The best multiset of sizes, as often as wanted, within capacity: (value, multiplicities).
+
+    Layer k holds, for each room, the best value of k sizes at most and which
+    size came last.
+    """
+    best, layers = np.zeros(capacity + 1), []
+    useful = np.flatnonzero(values > 0).tolist()
+    for _ in range(capacity // int(sizes.min())):
+        better, last = best.copy(), np.full(capacity + 1, -1)
+        for i in useful:
+            size = int(sizes[i])
+            worth = best[: capacity + 1 - size] + values[i]
+            where = np.flatnonzero(worth > better[size:] + 1e-12)
+            better[where + size], last[where + size] = worth[where], i
+        if (last < 0).all():
+            break
+        layers.append(last)
+        best = better
     chosen, room = np.zeros(len(sizes), np.int64), capacity
-    while room >= least:
-        if taken[room] < 0:
-            room -= 1
-        else:
-            chosen[taken[room]] += 1
-            room -= int(sizes[taken[room]])
+    for last in reversed(layers):
+        if last[room] >= 0:
+            chosen[last[room]] += 1
+            room -= int(sizes[last[room]])
     return float(best[capacity]), chosen
 
 
-def configurations(sizes: np.ndarray, demand: np.ndarray, capacity: int, max_steps: int = 400) -> list[tuple[np.ndarray, float]]:
+def configurations(sizes: np.ndarray, demand: np.ndarray, capacity: int, max_steps: int = 400, gain: float = 1e-3) -> list[tuple[np.ndarray, float]]:
     """Patterns (multiplicity of each size) and how often each is used, from the
-    linear programme of cutting-stock by column generation."""
+    linear programme of cutting-stock by column generation.
+
+    It ends when no pattern would be worth more than 1 + gain, that is, within
+    that share of the optimum.
+    """
     k = len(sizes)
     patterns = [np.eye(k, dtype=np.int64)[i] * (capacity // int(sizes[i])) for i in range(k)]
     basis = np.stack(patterns, axis=1).astype(float)
@@ -93,7 +109,7 @@ def configurations(sizes: np.ndarray, demand: np.ndarray, capacity: int, max_ste
     for _ in range(max_steps):
         duals = np.linalg.solve(basis.T, np.ones(k))
         value, column = _knapsack(np.maximum(duals, 0), sizes, capacity)
-        if value <= 1 + 1e-7:
+        if value <= 1 + gain:
             break
         direction = np.linalg.solve(basis, column.astype(float))
         positive = direction > 1e-9
@@ -141,105 +157,81 @@ def _best_fit(runs: list[Run], counts: dict[int, int], capacity: int) -> list[Ru
             full = min(full, run.count)
             spare = run.count - full
             if full:
-                add(Run(full, run.room - per * length, [*run.slots, (length, per)]))
+                add(Run(full, run.room - per * length, [*run.slots, (length, per)], run.configured))
                 left -= full * per
             if spare and left:  # the last ones fill a part of one sequence
                 rest = min(left, per)
-                add(Run(1, run.room - rest * length, [*run.slots, (length, rest)]))
+                add(Run(1, run.room - rest * length, [*run.slots, (length, rest)], run.configured))
                 left -= rest
                 spare -= 1
             if spare:
-                add(Run(spare, run.room, run.slots))
+                add(Run(spare, run.room, run.slots, run.configured))
     return [run for key in keys for run in rooms[key]]
 
 
-def _substituted(pattern: np.ndarray, times: int, queues: list[list[list[int]]], capacity: int) -> list[Run]:
-    """`times` sequences of a pattern with real lengths, the longest of each group first.
+def grouped(counts: dict[int, int], groups: int) -> tuple[np.ndarray, np.ndarray]:
+    """(rounded sizes, longest first, and how many pieces have each) of groups of equal cardinality.
 
-    queues: of each group, [length, count] runs, longest last.  What a group
-    lacks stays room.
-    """
-    slots = [g for g, m in enumerate(pattern.tolist()) for _ in range(m)]
-    taken: list[list[tuple[int, int]]] = []  # of each slot, (length, count) runs; length 0 for nothing
-    for g in slots:
-        need, got = times, []
-        while need and queues[g]:
-            length, count = queues[g][-1]
-            n = min(need, count)
-            got.append((length, n))
-            need -= n
-            if n == count:
-                queues[g].pop()
-            else:
-                queues[g][-1][1] -= n
-        if need:
-            got.append((0, need))
-        taken.append(got)
-    out, done = [], 0
-    place = [(0, 0)] * len(slots)  # of each slot, its run and how much of it is used
-    while done < times:
-        step = min(taken[s][i][1] - u for s, (i, u) in enumerate(place))
-        lengths = [taken[s][i][0] for s, (i, _) in enumerate(place)]
-        kept = sorted((x for x in lengths if x), reverse=True)
-        pairs = [(x, kept.count(x)) for x in dict.fromkeys(kept)]
-        out.append(Run(step, capacity - sum(kept), pairs))
-        done += step
-        place = [(i, u + step) if u + step < taken[s][i][1] else (i + 1, 0) for s, (i, u) in enumerate(place)]
-    return [run for run in out if run.slots]
-
-
-def plan(counts: dict[int, int], capacity: int, groups: int, large: int, slack: int) -> list[Run]:
-    """Runs of sequences that hold counts[length] pieces of each length.
-
-    Sequences that real lengths leave more than `slack` of room are undone and
-    their pieces go best-fit with the small ones.
+    Groups with the same rounded size are one.
     """
-    runs = [Run(counts[capacity], 0, [(capacity, 1)])] if counts.get(capacity) else []
-    rest = {n: c for n, c in counts.items() if 0 < n < capacity and c}
-    big = sorted((n for n in rest if n > capacity // large), reverse=True)
-    total = sum(rest[n] for n in big)
-    if not total:
-        return runs + _best_fit([], rest, capacity)
-    groups = min(groups, total)
-    bounds = [total * (g + 1) // groups for g in range(groups)]
-    queues: list[list[list[int]]] = [[] for _ in range(groups)]
-    done, g = 0, 0
-    for n in big:
-        left = rest[n]
-        while left:
-            step = min(left, bounds[g] - done)
-            if step:
-                queues[g].append([n, step])
-            done, left = done + step, left - step
-            g += done == bounds[g] and g < groups - 1
-    sizes, demand, merged = [], [], []
-    for q in queues:  # groups with the same rounded size are one
-        if sizes and q[0][0] == sizes[-1]:
-            demand[-1] += sum(c for _, c in q)
-            merged[-1] += q
-        else:
-            sizes.append(q[0][0])
-            demand.append(sum(c for _, c in q))
-            merged.append(list(q))
-    queues = [q[::-1] for q in merged]
-    chosen = configurations(np.array(sizes), np.array(demand, float), capacity)
-    for pattern, times in sorted(chosen, key=lambda x: -x[1]):
-        if int(times + 1e-9):
-            runs += _substituted(pattern, int(times + 1e-9), queues, capacity)
-    left = {n: c for n, c in rest.items() if n <= capacity // large}
-    for q in queues:
-        for n, c in q:
-            left[n] = left.get(n, 0) + c
-    for run in runs:
-        if run.room > slack:
-            for n, side in run.slots:
-                left[n] = left.get(n, 0) + side * run.count
-    return _best_fit([run for run in runs if run.room <= slack], left, capacity)
+    lengths = np.array(sorted(counts, reverse=True), np.int64)
+    ends = np.cumsum([counts[n] for n in lengths.tolist()])
+    total = int(ends[-1])
+    first = [total * g // groups for g in range(groups)]
+    sizes, begins = np.unique(-lengths[np.searchsorted(ends, first, "right")], return_index=True)
+    edges = np.append(np.array(first, np.int64)[begins], total)
+    return -sizes, np.diff(edges)
+
 
+def substituted(pattern: np.ndarray, times: int, sizes: np.ndarray, left: dict[int, int], keys: list[int], p: Packing) -> list[Run]:
+    """At most `times` sequences of a pattern with real pieces, taken from left (length -> count; keys are its lengths, sorted).
 
-def best_plan(counts: dict[int, int], p: Packing) -> list[Run]:
-    plans = [plan(counts, p.capacity, k, p.large, x) for k in p.groups for x in p.slack]
-    return min(plans, key=lambda runs: sum(r.count for r in runs))
+    It ends early if a group has no piece of its own left for a place, or if a
+    sequence would have more room than its configuration and `slack`.
+    """
+    places = [g for g, m in enumerate(pattern.tolist()) for _ in range(m)]
+    most = p.capacity - int(sizes[places].sum()) + p.slack
+    runs: list[Run] = []
+    while times:
+        room, used = p.capacity, {}
+        for k, g in enumerate(places):
+            longest = room if k == len(places) - 1 else min(room, int(sizes[g]))
+            shortest = int(sizes[g + 1]) if g + 1 < len(sizes) else 0
+            i = bisect_right(keys, longest) - 1
+            while i >= 0 and left[keys[i]] <= used.get(keys[i], 0):
+                i -= 1
+            if i < 0 or keys[i] < shortest:
+                return runs
+            used[keys[i]] = used.get(keys[i], 0) + 1
+            room -= keys[i]
+        if room > most:
+            return runs
+        step = min(times, *(left[n] // side for n, side in used.items()))
+        for n, side in used.items():
+            left[n] -= step * side
+            if not left[n]:
+                del left[n], keys[bisect_left(keys, n)]
+        runs.append(Run(step, room, sorted(used.items(), reverse=True), True))
+        times -= step
+    return runs
+
+
+def plan(counts: dict[int, int], p: Packing) -> list[Run]:
+    """Runs of sequences that hold counts[length] pieces of each length."""
+    runs = [Run(counts[p.capacity], 0, [(p.capacity, 1)])] if counts.get(p.capacity) else []
+    rest = {n: c for n, c in counts.items() if 0 < n < p.capacity and c}
+    left = {n: c for n, c in rest.items() if n > p.capacity // p.large}
+    small = {n: c for n, c in rest.items() if n not in left}
+    for _ in range(p.rounds):
+        if not left:
+            break
+        sizes, demand = grouped(left, max(1, min(p.groups, sum(left.values()) // p.least)))
+        keys, made = sorted(left), len(runs)
+        for pattern, times in sorted(configurations(sizes, demand.astype(float), p.capacity), key=lambda x: (-x[1], x[0].tolist())):
+            runs += substituted(pattern, int(times + 1e-6), sizes, left, keys, p)
+        if len(runs) == made:
+            break
+    return _best_fit(runs, left | small, p.capacity)
 
 
 def placements(runs: list[Run]) -> np.ndarray:
@@ -267,27 +259,21 @@ class _Encoder:
 
     def block(self, block: at.TextBlock) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets) of the texts of a block."""
-        starts, ends, offsets = wordbpe.chunks(block)
+        starts, ends, offsets = wordbpe.chunks(block, self.special)
         codes, hashes, sample = wordbpe.distinct(block, starts, ends)
-        if len(self.known) > wordbpe.CACHE:
-            self.known.clear()
+        if len(self.known) > wordbpe.CACHE or not self.known:
+            self.known = {h: np.array([x], "<u4").tobytes() for h, x in wordbpe.hashed(self.special).items()}
         fresh = [i for i, h in enumerate(hashes) if h not in self.known]
         pick = sample[fresh]
-        count, ids = self.model.tokens(wordbpe.strings(block, starts[pick], ends[pick]))
-        raw, cut = ids.astype(np.uint32).tobytes(), (np.cumsum(count) * 4).tolist()
+        count, ids = self.model.tokens(block, starts[pick], ends[pick])
+        raw, cut = ids.astype("<u4").tobytes(), (np.cumsum(count) * 4).tolist()
         self.known.update((hashes[i], raw[a:b]) for i, a, b in zip(fresh, [0, *cut], cut, strict=False))
         held = [self.known[h] for h in hashes]
         size = np.array([len(x) // 4 for x in held], np.int64)
-        flat = np.frombuffer(b"".join(held), np.uint32)
+        flat = np.frombuffer(b"".join(held), "<u4")
         each = size[codes] if len(codes) else size
         made = flat[at.ragged((np.cumsum(size) - size)[codes], each)] if len(codes) else flat
-        sums = np.concatenate(([0], np.cumsum(each)))
-        offsets = sums[offsets]
-        for i in sorted(wordbpe.with_specials(block, self.special), reverse=True):
-            own = np.array(self.model.tokenizer.encode(block.text(i), add_special_tokens=False).ids, np.uint32)
-            made = np.concatenate((made[: offsets[i]], own, made[offsets[i + 1] :]))
-            offsets = offsets + np.where(np.arange(len(offsets)) > i, len(own) - (offsets[i + 1] - offsets[i]), 0)
-        return made, offsets
+        return made, np.concatenate(([0], np.cumsum(each)))[offsets]
 
 
 def _cut(batches: Iterator[pa.RecordBatch], p: Packing, with_ids: bool) -> Iterator[pa.RecordBatch]:
@@ -296,7 +282,6 @@ def _cut(batches: Iterator[pa.RecordBatch], p: Packing, with_ids: bool) -> Itera
     for batch in at.released(batches):
         for block in at.blocks(batch.column("text")):
             ids, offsets = encoder.block(block)
-            ids = ids.astype("<u4")
             row, piece, start, length, crc, held = [], [], [], [], [], []
             for i in range(len(block)):
                 own = np.concatenate((ids[offsets[i] : offsets[i + 1]], end))
@@ -341,7 +326,7 @@ def placed(cut: DataFrame, p: Packing) -> DataFrame:
     """The pieces of a written table with sequence_id and offset."""
     histogram = materialise(cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")), "histogram")  # at most `capacity` rows
     counts = {r["length"]: r["n"] for r in histogram.collect()}
-    table = placements(best_plan(counts, p))
+    table = placements(plan(counts, p))
     # ranks of a length: its pieces are dealt to cells by a hash, and each cell begins where the last ended
     cells = F.floor(F.col("n") / p.cell) + 1
     dealt = cut.join(F.broadcast(histogram), "length").withColumn("cell", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), cells)).drop("n")

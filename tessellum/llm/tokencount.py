@@ -1,7 +1,8 @@
 """Token counts by rank-synchronous merging of ragged arrays.
 
 The distinct pre-tokens of a block of texts are held as one array of symbols
-with offsets.  In every round each sequence finds its lowest-rank pair and all
+with offsets.  A chunk of ASCII letters is a pre-token as it is; others are
+normalised and split one by one.  In every round each sequence finds its lowest-rank pair and all
 sequences apply theirs at once; sequences without a pair leave.  What counts is
 how many symbols survive.
 """
@@ -113,15 +114,27 @@ class Merges:
         normal = self.tokenizer.normalizer.normalize_str(chunk)
         return [bytes(self.byte_of[c] for c in x) for x, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(normal)]
 
-    def tokens(self, found: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(tokens of each chunk, token ids end to end)."""
-        made = [self.pretokens(x) for x in found]
+    def tokens(self, block: at.TextBlock, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(tokens of each chunk of a block, token ids end to end)."""
+        other = np.concatenate(([0], np.cumsum(~_LETTERS[block.data], dtype=np.int64)))
+        bare = other[ends] == other[starts]  # ASCII letters alone are one pre-token, lower-cased
+        plain, rest = np.flatnonzero(bare), np.flatnonzero(~bare)
+        sizes = ends[plain] - starts[plain]
+        made = [self.pretokens(x) for x in wordbpe.strings(block, starts[rest], ends[rest])]
         flat = [p for x in made for p in x]
-        if not flat:
-            return np.zeros(len(found), np.int64), np.zeros(0, np.int64)
-        count, ids = self.surviving(np.frombuffer(b"".join(flat), np.uint8), np.array([len(p) for p in flat]))
-        owner = np.repeat(np.arange(len(found)), [len(x) for x in made])
-        return np.bincount(owner, count, minlength=len(found)).astype(np.int64), ids
+        data = np.concatenate((at.ASCII_LOWER[block.data[at.ragged(starts[plain], sizes)]], np.frombuffer(b"".join(flat), np.uint8)))
+        if not len(data):
+            return np.zeros(len(starts), np.int64), np.zeros(0, np.int64)
+        count, ids = self.surviving(data, np.concatenate((sizes, np.array([len(p) for p in flat], np.int64))))
+        owner = np.concatenate((plain, np.repeat(rest, [len(x) for x in made])))
+        total = np.bincount(owner, count, minlength=len(starts)).astype(np.int64)
+        placed = np.zeros(len(starts), np.int64)  # where the ids of each chunk begin
+        order = np.concatenate((plain, rest))
+        placed[order] = np.cumsum(total[order]) - total[order]
+        return total, ids[at.ragged(placed, total)]
+
+
+_LETTERS = at.byte_class([(0x41, 0x5A), (0x61, 0x7A)])
 
 
 @lru_cache(maxsize=2)
@@ -129,39 +142,37 @@ def merges(name: str) -> Merges:
     return Merges(name)
 
 
-def _count(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[pa.RecordBatch]:
+def _count(batches: Iterator[pa.RecordBatch], name: str, block_bytes: int) -> Iterator[pa.RecordBatch]:
     model, special, known = merges(name), wordbpe.specials(name), {}
     for batch in batches:
-        for block in at.blocks(batch.column("text")):
-            starts, ends, offsets = wordbpe.chunks(block)
+        for block in at.blocks(batch.column("text"), block_bytes):
+            starts, ends, offsets = wordbpe.chunks(block, special)
             codes, hashes, sample = wordbpe.distinct(block, starts, ends)
-            if len(known) > wordbpe.CACHE:
-                known.clear()
+            if len(known) > wordbpe.CACHE or not known:
+                known = dict.fromkeys(wordbpe.hashed(special), 1)
             fresh = [i for i, h in enumerate(hashes) if h not in known]
             pick = sample[fresh]
-            got, _ = model.tokens(wordbpe.strings(block, starts[pick], ends[pick]))
+            got, _ = model.tokens(block, starts[pick], ends[pick])
             known.update(zip([hashes[i] for i in fresh], got.tolist(), strict=True))
             each = np.array([known[h] for h in hashes], np.int64)[codes] if len(codes) else np.zeros(0, np.int64)
             sums = np.concatenate(([0], np.cumsum(each)))
-            total = sums[offsets[1:]] - sums[offsets[:-1]]
-            for i in wordbpe.with_specials(block, special):
-                total[i] = len(model.tokenizer.encode(block.text(i), add_special_tokens=False).ids)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").slice(block.first, len(block)), pa.array(np.diff(block.offsets)), pa.array(total)],
+                [batch.column("doc_id").slice(block.first, len(block)), pa.array(np.diff(block.offsets)), pa.array(sums[offsets[1:]] - sums[offsets[:-1]])],
                 names=["doc_id", "n_bytes", "n_tokens"],
             )
 
 
-def token_counts(docs: DataFrame, limit: int = 2048, tokenizer: str = wordbpe.DEFAULT) -> DataFrame:
+def token_counts(docs: DataFrame, limit: int = 2048, tokenizer: str = wordbpe.DEFAULT, block_bytes: int = 4 << 20) -> DataFrame:
     """(doc_id, n_bytes, n_tokens, over_limit) for each row of docs(doc_id, text, ...).
 
     Whole texts, without truncation, padding or added special tokens; strings of
     special tokens inside a text count as the library takes them, one token each.
+    A worker handles about `block_bytes` of texts at a time.
     Null and empty texts have no bytes and no tokens.  Rows that repeat, and null
     ids, are counted like any other row; other columns are ignored; an empty
     table gives an empty one.
     """
     counted = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(
-        partial(_count, name=tokenizer), "doc_id bigint, n_bytes bigint, n_tokens bigint"
+        partial(_count, name=tokenizer, block_bytes=block_bytes), "doc_id bigint, n_bytes bigint, n_tokens bigint"
     )
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)

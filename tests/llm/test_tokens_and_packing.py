@@ -33,6 +33,13 @@ def test_counts_equal_the_library(documents, awkward, odd, tokenizer):
         assert got == sorted(want, key=repr)
 
 
+def test_special_strings_beside_each_other_and_at_edges(make, tokenizer):
+    texts = ["<|endof", "text|><|endoftext|>", "<|startoftext|", "><|endoftext|><|", "e<|endoftext|>\u0301", "'<|endoftext|>s <|startoftext|><|startoftext|>re", "<|endoftext|>" * 3000]
+    rows = make([(i, t, None, None, None) for i, t in enumerate(texts)]).coalesce(1)
+    got = [r["n_tokens"] for r in tokencount.token_counts(rows).orderBy("doc_id").collect()]
+    assert got == [len(tokenizer.encode(t, add_special_tokens=False).ids) for t in texts]
+
+
 def test_counts_of_an_empty_table(empty):
     assert tokencount.token_counts(empty).count() == 0
 
@@ -80,20 +87,78 @@ def test_packing_of_an_empty_table(empty):
     assert packing.pack(empty).count() == 0
 
 
+def held_by(runs, capacity):
+    held = Counter()
+    for run in runs:
+        assert sum(n * side for n, side in run.slots) + run.room == capacity and run.room >= 0 and run.count > 0
+        for n, side in run.slots:
+            held[n] += side * run.count
+    return held
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_plans_hold_every_piece(seed):
     draw = random.Random(seed)
     counts = Counter(draw.choice([draw.randint(1, 100), draw.randint(30, 100), 100, 51]) for _ in range(draw.randint(1, 400)))
-    for groups, slack in ((1, 0), (5, 3), (40, 100)):
-        runs = packing.plan(dict(counts), 100, groups, 8, slack)
-        held = Counter()
-        for run in runs:
-            assert sum(n * side for n, side in run.slots) + run.room == 100 and run.room >= 0
-            for n, side in run.slots:
-                held[n] += side * run.count
-        assert held == counts
-        total = sum(n * c for n, c in counts.items())
-        assert sum(r.count for r in runs) >= -(-total // 100)
+    total = sum(n * c for n, c in counts.items())
+    for groups, slack, rounds in ((1, 0, 1), (5, 3, 4), (40, 100, 9), (32, 2, 0)):
+        p = packing.Packing(capacity=100, groups=groups, slack=slack, rounds=rounds)
+        for times in (1, 10**9):
+            runs = packing.plan({n: c * times for n, c in counts.items()}, p)
+            assert held_by(runs, 100) == {n: c * times for n, c in counts.items()}
+            assert sum(r.count for r in runs) >= -(-total * times // 100)
+    assert packing.plan({}, packing.Packing()) == []
+
+
+def test_configurations_make_the_packing(spark):
+    """Nearly all large pieces of the table, and of ten times as many of other lengths, stand in configured sequences."""
+    from pathlib import Path
+
+    path = "/root/testdata/sf0.01/documents.parquet"
+    if not Path(path).exists():
+        pytest.skip("no test tables")
+    p = packing.Packing()
+    table = {r["length"]: r["count"] for r in packing.pieces(spark.read.parquet(path), p).groupBy("length").count().collect()}
+    draw = np.random.default_rng(4)
+    drawn = Counter(np.clip(draw.lognormal(6.4, 0.7, 11_000).astype(int), 1, 2048).tolist())
+    for counts in (table, drawn):
+        runs = packing.plan(counts, p)
+        assert held_by(runs, 2048) == counts
+        large = sum(c for n, c in counts.items() if 256 < n < 2048)
+        configured = sum(r.count * side for r in runs if r.configured for n, side in r.slots if n > 256)
+        assert configured >= 0.9 * large
+        assert sum(r.count for r in runs) <= -(-sum(n * c for n, c in counts.items()) // 2048) * 1.01
+
+
+def test_groups_are_of_equal_cardinality_and_rounded_up():
+    draw = random.Random(7)
+    for _ in range(30):
+        pieces = sorted((draw.choice([draw.randint(1, 30), 17]) for _ in range(draw.randint(1, 80))), reverse=True)
+        groups = draw.randint(1, len(pieces))
+        rounded = Counter()
+        for g in range(groups):
+            a, b = len(pieces) * g // groups, len(pieces) * (g + 1) // groups
+            rounded[pieces[a]] += b - a
+        sizes, demand = packing.grouped(Counter(pieces), groups)
+        assert list(zip(sizes.tolist(), demand.tolist())) == sorted(rounded.items(), reverse=True)
+
+
+def test_knapsack_against_all_multisets():
+    draw = random.Random(2)
+    for _ in range(40):
+        sizes = np.array(sorted({draw.randint(3, 30) for _ in range(4)}))
+        values = np.array([draw.choice([0, draw.random()]) for _ in sizes])
+        best = [0.0] * 61
+        for room in range(61):
+            best[room] = max([0.0, *(best[room - s] + v for s, v in zip(sizes.tolist(), values.tolist()) if s <= room)])
+        value, chosen = packing._knapsack(values, sizes, 60)
+        assert abs(value - best[60]) < 1e-9 and abs((chosen * values).sum() - value) < 1e-9 and (chosen * sizes).sum() <= 60
+
+
+def test_a_third_of_all_pieces_alike():
+    counts = {900: 10**6, 100: 50_000, 1500: 3, 2048: 7}
+    runs = packing.plan(counts, packing.Packing())
+    assert held_by(runs, 2048) == counts and sum(r.count for r in runs) <= 500_000 + 3 + 7
 
 
 def test_configurations_meet_their_demand():
@@ -101,3 +166,4 @@ def test_configurations_meet_their_demand():
     chosen = packing.configurations(sizes, demand, 100)
     made = sum(np.array(p) * t for p, t in chosen)
     assert np.allclose(made, demand) and sum(t for _, t in chosen) < 34
+    assert all((pattern * sizes).sum() <= 100 for pattern, _ in chosen)
