@@ -8,8 +8,12 @@ shifted lists of the next rarest ones.  Frequencies are those of the whole
 corpus.  Nothing is shuffled but the term counts, so a source or a passage that
 many documents share makes no task larger than its texts.
 
-Test terms and windows travel to the shards.  They are bounded by `block_words`:
-a larger benchmark is taken in blocks of items, each against all documents.
+Test terms and windows travel to the shards.  They are bounded by `block_windows`:
+a larger benchmark is taken in blocks, each against all documents.  What is dealt
+to blocks are the distinct pairs of a window and an item, by a hash of both, so
+neither a long item nor a window that many items share makes a block larger.  Of
+the pairs of a window one owns it, and only its block counts it for proximity:
+no result depends on the number of blocks.
 """
 
 from __future__ import annotations
@@ -38,14 +42,18 @@ class Decontamination:
     percent: a document is contaminated if at least so many hundredths of its
         words are hit.
     slop: for proximity matches, how far each term may be from its place.
-    block_words: most benchmark words, a few more for the last item, that are
-        sent to the shards at once.
+    block_windows: about how many pairs of a window and an item are sent to the
+        shards at once.
+    expand: about how many places are looked up at once in a row of the index.
+    copies: most equal rows that a task writes in a row.
     """
 
     window: int = 13
     percent: int = 5
     slop: int = 2
-    block_words: int = 1_000_000
+    block_windows: int = 500_000
+    expand: int = 2_000_000
+    copies: int = 4096
 
 
 @dataclass
@@ -53,47 +61,45 @@ class TestWindows:
     """Distinct windows of some benchmark items, with terms numbered by `vocabulary`."""
 
     vocabulary: np.ndarray  # sorted term hashes
-    terms: np.ndarray  # windows x width, -1 beyond a short window
+    terms: np.ndarray  # windows x width, int32, -1 beyond a short window
     lengths: np.ndarray
+    own: np.ndarray  # whether this block counts the window for proximity
     items: np.ndarray  # item numbers, window after window
     item_offsets: np.ndarray
     names: list[str]
 
 
-def _item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+_SLICE = 50_000  # windows of a batch
+
+
+def _item_windows(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    """(item_id, held): the word hashes of each window of each item; an item of fewer words than a window is one."""
     for batch in batches:
         for block in at.blocks(batch.column("text")):
             w = at.words(block, at.ALPHANUMERIC)
-            held = [w.hashes[w.offsets[i] : w.offsets[i + 1]].tobytes() for i in range(len(block))]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("item_id").slice(block.first, len(block)), pa.array(held, pa.binary()), pa.array(w.counts().astype(np.int64))],
-                names=["item_id", "held", "n"],
-            )
-
-
-def test_windows(rows: list[tuple[str, bytes]], width: int) -> TestWindows:
-    """The windows of items given as (item id, word hashes)."""
-    names = sorted({name for name, held in rows if held})
-    number = {name: i for i, name in enumerate(names)}
-    streams = [np.frombuffer(held, U64) for name, held in rows if held]
-    owners = np.array([number[name] for name, held in rows if held], np.int64)
-    vocabulary = np.unique(np.concatenate(streams)) if streams else np.zeros(0, U64)
-    parts, owned = [], []
-    for owner, stream in zip(owners, streams, strict=True):
-        numbered = np.searchsorted(vocabulary, stream)
-        if len(numbered) >= width:
-            made = np.lib.stride_tricks.sliding_window_view(numbered, width)
-        else:
-            made = np.full((1, width), -1, np.int64)
-            made[0, : len(numbered)] = numbered
-        parts.append(made)
-        owned.append(np.full(len(made), owner))
-    if not parts:
-        return TestWindows(vocabulary, np.zeros((0, width), np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(1, np.int64), names)
-    terms, which = np.unique(np.concatenate(parts), axis=0, return_inverse=True)
-    pairs = np.unique(np.stack([which.ravel(), np.concatenate(owned)], axis=1), axis=0)
+            for i in np.flatnonzero(w.counts()).tolist():
+                stream = w.hashes[w.offsets[i] : w.offsets[i + 1]]
+                made = np.lib.stride_tricks.sliding_window_view(stream, min(width, len(stream)))
+                for k in range(0, len(made), _SLICE):
+                    rows = [x.tobytes() for x in made[k : k + _SLICE]]
+                    ids = batch.column("item_id").slice(block.first + i, 1).take(pa.array(np.zeros(len(rows), np.int64)))
+                    yield pa.RecordBatch.from_arrays([ids, pa.array(rows, pa.binary())], names=["item_id", "held"])
+
+
+def test_windows(table: pa.Table, width: int) -> TestWindows:
+    """The windows of a table (item_id, held, own)."""
+    held = table["held"].to_pylist()
+    lengths = np.array([len(x) // 8 for x in held], np.int64)
+    vocabulary, numbered = np.unique(np.frombuffer(b"".join(held), U64), return_inverse=True)
+    terms = np.full((len(held), width), -1, np.int32)
+    terms[np.arange(width) < lengths[:, None]] = numbered
+    names, owners = np.unique(np.array(table["item_id"].to_pylist(), object).astype(str), return_inverse=True)
+    terms, which = np.unique(terms, axis=0, return_inverse=True)
+    own = np.zeros(len(terms), bool)
+    own[which.ravel()[np.array(table["own"].to_pylist(), bool)]] = True
+    pairs = np.unique(np.stack([which.ravel(), owners.ravel()], axis=1), axis=0)
     offsets = np.searchsorted(pairs[:, 0], np.arange(len(terms) + 1))
-    return TestWindows(vocabulary, terms, (terms >= 0).sum(axis=1), pairs[:, 1], offsets, names)
+    return TestWindows(vocabulary, terms, (terms >= 0).sum(axis=1), own, pairs[:, 1].astype(np.int32), offsets, names.tolist())
 
 
 INDEX = "ids binary, id_nulls binary, texts binary, n_words binary, terms binary, counts binary, places binary"
@@ -163,9 +169,65 @@ def _merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
 FOUND = "doc_id bigint, text_hash bigint, n_words bigint, starts array<bigint>, ends array<bigint>, items array<string>, n_near bigint"
 
 
-def _search(batches: Iterator[pa.RecordBatch], tests: TestWindows, order: np.ndarray, slop: int) -> Iterator[pa.RecordBatch]:
-    """Of each document, the merged spans of exact matches, the items matched and the number of windows matched by proximity."""
-    rank_terms = np.take_along_axis(tests.terms, order, axis=1)
+@dataclass
+class _Shard:
+    """A row of the index: keys are (term, place), sorted; edge has the place where each document begins."""
+
+    terms: np.ndarray
+    counts: np.ndarray
+    first: np.ndarray
+    places: np.ndarray
+    keys: np.ndarray
+    edge: np.ndarray
+
+    def nearest(self, key: np.ndarray) -> np.ndarray:
+        """The least key that is not below each of the given ones, or the last."""
+        return self.keys[np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)]
+
+
+def _looked_up(shard: _Shard, some: np.ndarray, many: np.ndarray, tests: TestWindows, order: np.ndarray, slop: int) -> tuple[np.ndarray, ...]:
+    """(documents and windows matched by proximity; windows, starts and documents of exact matches) of some windows.
+
+    many: the number of places of the rarest term of each of them.
+    """
+    edge, rank = shard.edge, order.shape[1]
+    window = np.repeat(some, many)
+    slot = np.searchsorted(shard.terms, tests.terms[some, order[some, 0]])
+    found = shard.places[at.ragged(shard.first[slot], many)]
+    doc = np.searchsorted(edge, found, "right") - 1
+    start = found - order[window, 0]
+    for r in range(1, rank):
+        if not len(window):
+            break
+        shift = order[window, r]
+        term, place = tests.terms[window, shift].astype(np.int64), start + shift
+        low = (term << 32) | np.maximum(place - slop, edge[doc])
+        high = (term << 32) | np.minimum(place + slop, edge[doc + 1] - 1)
+        near = shard.nearest(low)
+        good = (term < 0) | ((near >= low) & (near <= high))
+        window, start, doc = window[good], start[good], doc[good]
+    owned = tests.own[window]
+    near_pairs = np.unique(np.stack([doc[owned], window[owned]], axis=1), axis=0)
+    exact = (start >= edge[doc]) & (start + tests.lengths[window] <= edge[doc + 1])
+    window, start, doc = window[exact], start[exact], doc[exact]
+    for r in range(rank):
+        if not len(window):
+            break
+        shift = order[window, r]
+        term = tests.terms[window, shift].astype(np.int64)
+        key = (term << 32) | (start + shift)
+        good = (term < 0) | (shard.nearest(key) == key)
+        window, start, doc = window[good], start[good], doc[good]
+    return near_pairs[:, 0], window, start, doc
+
+
+def _search(batches: Iterator[pa.RecordBatch], tests: TestWindows, order: np.ndarray, p: Decontamination) -> Iterator[pa.RecordBatch]:
+    """Of each document, the merged spans of exact matches, the items matched and the number of windows matched by proximity.
+
+    Windows are looked up some at a time, so that no more than about `expand`
+    places, or those of one term, are held.
+    """
+    rarest = np.take_along_axis(tests.terms, order[:, :1].astype(np.int64), axis=1)[:, 0]
     for batch in at.released(batches):
         for row in batch.to_pylist():
             ids, nulls, texts, n_words = (_unpacked(row[k], t) for k, t in (("ids", np.int64), ("id_nulls", bool), ("texts", np.int64), ("n_words", np.int64)))
@@ -176,33 +238,20 @@ def _search(batches: Iterator[pa.RecordBatch], tests: TestWindows, order: np.nda
             places = sums - np.repeat(base, counts)
             keys = (np.repeat(terms.astype(np.int64), counts) << 32) | places
             edge = np.concatenate(([0], np.cumsum(n_words)))
-
-            window, start = np.zeros(0, np.int64), np.zeros(0, np.int64)
-            if len(terms) and len(rank_terms):
-                slot = np.minimum(np.searchsorted(terms, rank_terms[:, 0]), len(terms) - 1)
-                many = np.where(terms[slot] == rank_terms[:, 0], counts[slot], 0).astype(np.int64)
-                window = np.repeat(np.arange(len(many)), many)
-                start = places[at.ragged(first[slot], many)] - order[window, 0]
-            doc = np.searchsorted(edge, start + order[window, 0], "right") - 1
-            for r in range(1, rank_terms.shape[1]):
-                if not len(window):
-                    break
-                term, place = rank_terms[window, r], start + order[window, r]
-                low = (term << 32) | np.maximum(place - slop, edge[doc])
-                high = (term << 32) | np.minimum(place + slop, edge[doc + 1] - 1)
-                near = keys[np.minimum(np.searchsorted(keys, low), len(keys) - 1)]
-                good = (term < 0) | ((near >= low) & (near <= high))
-                window, start, doc = window[good], start[good], doc[good]
-            exact = (start >= edge[doc]) & (start + tests.lengths[window] <= edge[doc + 1])
-            near_pairs = np.unique(np.stack([doc, window], axis=1), axis=0)
-            n_near = np.bincount(near_pairs[:, 0], minlength=len(ids))
-            window, start, doc = window[exact], start[exact], doc[exact]
-            for r in range(rank_terms.shape[1]):
-                if not len(window):
-                    break
-                key = (rank_terms[window, r] << 32) | (start + order[window, r])
-                good = (rank_terms[window, r] < 0) | (keys[np.minimum(np.searchsorted(keys, key), len(keys) - 1)] == key)
-                window, start, doc = window[good], start[good], doc[good]
+            shard = _Shard(terms, counts, first, places, keys, edge)
+
+            n_near = np.zeros(len(ids), np.int64)
+            hits = [np.zeros((3, 0), np.int64)]
+            if len(terms) and len(rarest):
+                slot = np.minimum(np.searchsorted(terms, rarest), len(terms) - 1)
+                many = np.where(terms[slot] == rarest, counts[slot], 0).astype(np.int64)
+                some = np.flatnonzero(many)
+                cuts = np.flatnonzero(np.diff(np.cumsum(many[some]) // p.expand)) + 1
+                for part in np.split(some, cuts):
+                    near, *found = _looked_up(shard, part, many[part], tests, order, p.slop)
+                    n_near += np.bincount(near, minlength=len(ids))
+                    hits.append(np.stack(found))
+            window, start, doc = np.concatenate(hits, axis=1)
 
             starts: list[list[int]] = [[] for _ in ids]
             ends: list[list[int]] = [[] for _ in ids]
@@ -218,7 +267,7 @@ def _search(batches: Iterator[pa.RecordBatch], tests: TestWindows, order: np.nda
                 hit = np.unique(tests.items[at.ragged(tests.item_offsets[which], tests.item_offsets[which + 1] - tests.item_offsets[which])])
                 items[i] = [tests.names[k] for k in hit]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, mask=nulls), pa.array(texts), pa.array(n_words), *(pa.array(x, pa.list_(pa.int64())) for x in (starts, ends)), pa.array(items, pa.list_(pa.string())), pa.array(n_near.astype(np.int64))],
+                [pa.array(ids, mask=nulls), pa.array(texts), pa.array(n_words), *(pa.array(x, pa.list_(pa.int64())) for x in (starts, ends)), pa.array(items, pa.list_(pa.string())), pa.array(n_near)],
                 names=[x.split()[0] for x in FOUND.split(", ")],
             )
 
@@ -232,7 +281,7 @@ def _united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch
 
 
-def _one_block(docs: DataFrame, rows: list[tuple[str, bytes]], p: Decontamination) -> DataFrame:
+def _one_block(docs: DataFrame, rows: pa.Table, p: Decontamination) -> DataFrame:
     tests = test_windows(rows, p.window)
     index = materialise(docs.mapInArrow(partial(_index, vocabulary=tests.vocabulary), INDEX), "positions")
     counted = index.select("terms", "counts").mapInArrow(_frequencies, "term int, n bigint").groupBy("term").agg(F.sum("n").alias("n")).collect()
@@ -240,8 +289,39 @@ def _one_block(docs: DataFrame, rows: list[tuple[str, bytes]], p: Decontaminatio
     for term, n in counted:
         frequency[term] = n
     frequency[-1] = np.iinfo(np.int64).max  # the end of a short window stands last
-    order = np.argsort(frequency[tests.terms], axis=1, kind="stable")
-    return index.mapInArrow(partial(_search, tests=tests, order=order, slop=p.slop), FOUND)
+    order = np.argsort(frequency[tests.terms], axis=1, kind="stable").astype(np.int16)
+    return index.mapInArrow(partial(_search, tests=tests, order=order, p=p), FOUND)
+
+
+def _window_pairs(benchmark: DataFrame, p: Decontamination) -> DataFrame:
+    """(item_id, held, own): the distinct pairs of an item and a window; one of each window's pairs, that of its least item, owns it."""
+    items = benchmark.select(F.col("item_id").cast("string"), F.col("text").cast("string")).filter("item_id IS NOT NULL")
+    pairs = materialise(items.mapInArrow(partial(_item_windows, width=p.window), "item_id string, held binary").distinct(), "windows")
+    owners = pairs.groupBy("held").agg(F.min("item_id").alias("item_id")).select("item_id", "held", F.lit(True).alias("own"))
+    both = pairs.withColumn("own", F.lit(False)).unionByName(owners)
+    return materialise(both.groupBy("item_id", "held").agg(F.max("own").alias("own")), "windows")
+
+
+def _joined(blocks: list[DataFrame], p: Decontamination) -> DataFrame:
+    """The matches of all blocks, row by row.  Rows that are alike have the same matches, so each block first makes them one."""
+    key = ["doc_id", "text_hash", "n_words"]
+    lists = ["starts", "ends", "items", "n_near"]
+    every = None
+    for x in blocks:
+        one = x.groupBy(*key).agg(*[F.first(c).alias(c) for c in lists], F.count(F.lit(1)).alias("copies"))
+        every = one if every is None else every.unionByName(one)
+    grouped = every.groupBy(*key).agg(
+        F.flatten(F.collect_list("starts")).alias("starts"),
+        F.flatten(F.collect_list("ends")).alias("ends"),
+        F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
+        F.sum("n_near").alias("n_near"),
+        F.max("copies").alias("copies"),
+    )
+    names = [x.split()[0] for x in FOUND.split(", ")]
+    united = grouped.mapInArrow(_united, FOUND + ", copies bigint")
+    parts = united.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("copies") - 1) / p.copies))))
+    dealt = parts.repartition(F.xxhash64("doc_id", "text_hash", "part"))
+    return dealt.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.least(F.lit(p.copies), F.col("copies") - F.col("part") * p.copies)))).select(*names)
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, p: Decontamination = Decontamination()) -> DataFrame:
@@ -253,34 +333,10 @@ def matches(docs: DataFrame, benchmark: DataFrame, p: Decontamination = Decontam
     proximity: every term within `slop` words of its place beside the rarest.
     """
     docs = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    items = benchmark.select(F.col("item_id").cast("string"), F.col("text").cast("string")).filter("item_id IS NOT NULL")
-    items = materialise(items.mapInArrow(_item_words, "item_id string, held binary, n bigint").filter("n > 0"), "items")
-    total = items.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    n = max(1, -(-total // p.block_words))
-    found = []
-    for k in range(n):
-        rows = items.filter(F.pmod(F.xxhash64("item_id", "held"), F.lit(n)) == k).select("item_id", "held").collect()
-        found.append(_one_block(docs, [(r[0], bytes(r[1])) for r in rows], p))
-    if n == 1:
-        return found[0]
-    every = found[0]
-    for x in found[1:]:
-        every = every.unionByName(x)
-    # rows that are alike have the same matches; how often a row is there, each block says
-    grouped = every.groupBy("doc_id", "text_hash", "n_words").agg(
-        F.flatten(F.collect_list("starts")).alias("starts"),
-        F.flatten(F.collect_list("ends")).alias("ends"),
-        F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
-        F.sum("n_near").alias("n_near"),
-        (F.count(F.lit(1)) / n).cast("int").alias("copies"),
-    )
-    united = grouped.mapInArrow(_united, FOUND + ", copies int")
-    names = [x.split()[0] for x in FOUND.split(", ")]
-    return (
-        united.withColumn("n_near", F.floor(F.col("n_near") / F.col("copies")))
-        .withColumn("copy", F.explode(F.sequence(F.lit(1), "copies")))
-        .select(*names)
-    )
+    pairs = _window_pairs(benchmark, p)
+    n = max(1, -(-pairs.count() // p.block_windows))
+    blocks = [_one_block(docs, pairs.filter(F.pmod(F.xxhash64("item_id", "held"), F.lit(n)) == k).toArrow(), p) for k in range(n)]
+    return blocks[0] if n == 1 else _joined(blocks, p)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, p: Decontamination = Decontamination()) -> DataFrame:

@@ -103,13 +103,13 @@ def brute_contamination(docs, items, width=13):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("block", [1_000_000, 300])
-def test_contamination_against_brute_force(spark, documents, folder, make, awkward, block):
+@pytest.mark.parametrize("spec", [decontam.Decontamination(), decontam.Decontamination(block_windows=900, expand=7, copies=1)])
+def test_contamination_against_brute_force(spark, documents, folder, make, awkward, spec):
     items = spark.read.parquet(f"{folder}/benchmark.parquet")
     short = spark.createDataFrame([(900, "one"), (901, "Ünïcödé 日本語"), (902, ""), (903, None), (None, "word word"), (900, "one")], "item_id bigint, text string")
     every = items.select("item_id", "text").unionByName(short)
     docs = documents.select("doc_id", "text").unionByName(awkward.select("doc_id", "text"))
-    got = decontam.contamination(docs, every, decontam.Decontamination(block_words=block))
+    got = decontam.contamination(docs, every, spec)
     want = brute_contamination([tuple(r) for r in docs.collect()], [tuple(r) for r in every.filter("item_id IS NOT NULL").collect()])
     assert sorted((tuple(r[:6]) for r in got.collect()), key=repr) == want
 
@@ -122,6 +122,22 @@ def test_proximity(spark, make):
     assert got == {1: (13, 1), 2: (0, 1), 3: (0, 0)}
 
 
+def test_blocks_change_nothing(spark, make):
+    """Items that repeat, that share windows and that are long; documents of common words, repeated and without ids."""
+    draw = random.Random(8)
+    word = lambda: draw.choice(["a", "b", "the", "of", f"w{draw.randint(0, 40)}"])
+    shared = [word() for _ in range(30)]
+    texts = [" ".join([word() for _ in range(draw.randint(0, 20))] + shared[: draw.randint(0, 30)]) for _ in range(12)]
+    items = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(100 + i, texts[3]) for i in range(8)] + [(3, texts[3])] * 5, "item_id bigint, text string")
+    rows = [(i, " ".join([word() for _ in range(40)]) + " " + texts[i % 12].replace(" of", "  x of", 1), None, None, None) for i in range(24)]
+    docs = make(rows + [(None, texts[3], None, None, None)] * 7 + [rows[5]] * 3)
+    results = []
+    for spec in (decontam.Decontamination(), decontam.Decontamination(block_windows=60, copies=2), decontam.Decontamination(block_windows=17, expand=3, copies=3)):
+        results.append(sorted((tuple(r) for r in decontam.contamination(docs, items, spec).collect()), key=repr))
+    assert results[0] == results[1] == results[2] and len(results[0]) == 34 and max(r[-1] for r in results[0]) > 10
+    assert [r[:6] for r in results[0]] == brute_contamination([(r["doc_id"], r["text"]) for r in docs.collect()], [tuple(r) for r in items.collect()])
+
+
 def test_contamination_of_empty_tables(spark, empty, documents):
     none = spark.createDataFrame([], "item_id bigint, text string")
     assert decontam.contamination(empty, none).count() == 0
