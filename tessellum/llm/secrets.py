@@ -1,16 +1,21 @@
 """Secret scan: fixed patterns and character Markov models of tokens.
 
-Two Markov models of the characters of tokens, one of random strings and one of
-ordinary identifiers and words, are trained from labelled samples.  A candidate
-token is a secret if its mean log-likelihood ratio per character is above a
-threshold.  The spans of the fixed patterns stand whatever the models say.
+Markov models of the characters of tokens, of random strings and of ordinary
+identifiers and words, are trained from labelled samples, a pair of them for each
+alphabet: which of lower-case letters, capitals, digits and signs a token holds.
+A candidate token is a secret if its mean log-likelihood ratio per character under
+the pair of its alphabet is above a threshold; nothing else decides.  The spans of
+the fixed patterns stand whatever the models say.
 """
 
 from __future__ import annotations
 
 import hashlib
+import importlib
 import random
 import re
+import string
+import uuid
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache, partial
@@ -35,95 +40,173 @@ class SecretScan:
     """Parameters.
 
     threshold: least mean log-likelihood ratio of a random token, in nats per character.
-    distinct: least different characters of a random token.
-    samples: tokens of each class that the default models are trained from.
+    samples: tokens of each class that are drawn for the default models.
     seed: of those samples.
+    smoothing: what each character of an alphabet adds to the counts.
     """
 
-    threshold: float = 0.9
-    distinct: int = 8
-    samples: int = 6000
+    threshold: float = 0.5
+    samples: int = 12_000
     seed: int = 20
-    smoothing: float = 0.2
+    smoothing: float = 0.5
 
 
-# Parts of ordinary identifiers, names and words.
+# Ordinary words, of English names in programs and of the prose of four languages.
 PARTS = (
     "get set new old max min sum count index value name user data file path list item node tree table column row page line word text "
     "string number array object class method function module package import export return result error message request response client "
-    "server host port config option default parser reader writer buffer stream input output event handler listener callback manager "
-    "service factory builder provider context session token cache queue stack thread process worker task job schedule timer date time "
-    "start stop open close create update delete remove insert select filter order group join merge split sort search find match replace "
-    "http https www com org net html json xml utf ascii base image video audio model view controller test case assert check valid format "
-    "the and for with that this from have which their about would there people first between through where should because however "
-    "international organization information development government university different important following environment available"
+    "server host port config option default parser reader writer buffer stream input output event handler listener callback manager"
 ).split()
+WORDS = {
+    "en": "the and that which their about would there people through where should because however international organization information "
+    "development government university different important following environment available knowledge relationship understanding straight",
+    "de": "der und nicht eine werden zwischen gesellschaft wissenschaft wirtschaft entscheidung geschwindigkeit verantwortung zusammenhang "
+    "schwierigkeiten jahrhundert schreibtisch rechtsprechung beziehungsweise gleichzeitig selbstverständlich arbeitsplatz versicherung",
+    "fr": "les des une pour dans avec notamment aujourd développement gouvernement établissement connaissance lorsque quelques beaucoup "
+    "toujours ailleurs heureusement environnement enseignement question croissance bouleversement quotidien auxquelles",
+    "es": "los las una por con para desarrollo gobierno conocimiento establecimiento siguiente mientras también entonces cualquier "
+    "trabajadores universidad organización especialmente aproximadamente guerra quienes izquierda derecho",
+}
+#: Modules of the standard library whose names are samples of identifiers.
+LIBRARY = "argparse ast asyncio codecs collections configparser ctypes datetime decimal email.message http.client inspect json logging os pathlib pickle re shutil socket sqlite3 ssl string subprocess tarfile threading tokenize typing unittest urllib.request xml.dom.minidom zipfile".split()
+
+_LOWER, _UPPER, _DIGITS = string.ascii_lowercase, string.ascii_uppercase, string.digits
+ALPHABETS = (
+    _DIGITS + "abcdef", _DIGITS + "ABCDEF", _UPPER + "234567", _LOWER + _DIGITS, _UPPER + _DIGITS, _LOWER, _UPPER, _LOWER + _UPPER,
+    _LOWER + _UPPER + _DIGITS, _LOWER + _UPPER + _DIGITS + "+/", _LOWER + _UPPER + _DIGITS + "-_",
+)
+
+
+def library_names() -> list[str]:
+    """The names that modules of the standard library, and their classes, define: identifiers as programs hold them."""
+    found: set[str] = set()
+    for name in LIBRARY:
+        module = importlib.import_module(name)
+        found.update(dir(module))
+        for x in vars(module).values():
+            if isinstance(x, type):
+                found.update(dir(x))
+    return sorted(x for x in found if len(x) >= 6 and x.isascii())
+
+
+def _plain(word: str) -> str:
+    """The word in ASCII letters alone: candidates hold no others."""
+    return word.translate(str.maketrans("äöüßàâçéèêîôûñáíóú", "aousaaceeeiounaiou"))
+
+
+def _ordinary(draw: random.Random, i: int) -> str:
+    """The i-th ordinary token: identifiers, words side by side, paths, numbers, rules and, more seldom, UUIDs in turn."""
+    language = draw.choice(list(WORDS))
+    words = [_plain(x) for x in WORDS[language].split()] + PARTS * (language == "en")
+    parts = [draw.choice(words) for _ in range(draw.randint(3, 9))]
+    number = lambda: str(draw.randint(0, 2030))
+    kinds = (
+        lambda: "_".join(parts),
+        lambda: "-".join(parts),
+        lambda: parts[0] + "".join(x.title() for x in parts[1:]),
+        lambda: "".join(x.title() for x in parts),
+        lambda: "/".join(parts),
+        lambda: "".join(parts),
+        lambda: "".join(parts).title(),
+        lambda: "_".join(x.upper() for x in parts),
+        lambda: "".join(x.upper() for x in parts),
+        lambda: "/".join(x if draw.random() < 0.7 else number() for x in parts),
+        lambda: "-".join(number() for _ in range(draw.randint(4, 8))),
+        lambda: "".join(draw.choice(_DIGITS) for _ in range(draw.randint(20, 40))),
+        lambda: "".join(x if draw.random() < 0.8 else x + str(draw.randint(0, 99)) for x in parts),
+        lambda: draw.choice("-_=+/") * draw.randint(20, 90),
+    )
+    kind = i % (len(kinds) + 1)
+    if kind == len(kinds):
+        token = str(uuid.UUID(int=draw.getrandbits(128)))
+        return token.upper() if draw.random() < 0.3 else token
+    return kinds[kind]() + (draw.choice(["", *"_-="]) + number() if draw.random() < 0.3 else "")
 
 
 def default_samples(p: SecretScan) -> list[tuple[str, int]]:
-    """Labelled tokens: 1 for random strings over the usual alphabets, 0 for identifiers made of ordinary parts."""
+    """Labelled tokens: 1 for strings drawn from the alphabets that keys are written in, 0 for ordinary ones."""
     draw = random.Random(p.seed)
-    alphabets = ["0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"]
-    alphabets += ["ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789" + extra for extra in ("", "+/", "-_")]
-    out = []
+    out = [(x, 0) for x in library_names()]
     for i in range(p.samples):
-        letters = alphabets[i % len(alphabets)]
+        letters = ALPHABETS[i % len(ALPHABETS)]
         out.append(("".join(draw.choice(letters) for _ in range(draw.randint(20, 64))), 1))
-        parts = [draw.choice(PARTS) for _ in range(draw.randint(3, 9))]
-        style = i % 6
-        if style == 0:
-            token = "_".join(parts)
-        elif style == 1:
-            token = "-".join(parts)
-        elif style == 2:
-            token = parts[0] + "".join(x.title() for x in parts[1:])
-        elif style == 3:
-            token = "/".join(parts)
-        elif style == 4:
-            token = "".join(parts)
-        else:
-            token = "_".join(x.upper() for x in parts)
-        if draw.random() < 0.3:
-            token += draw.choice("_-=") + str(draw.randint(0, 2030))
-        out.append((token, 0))
+        out.append((_ordinary(draw, i), 0))
     return out
 
 
+# The four sorts of characters and the 16 alphabets, sets of them, that a token can have.
+_SORT = np.full(128, 8, np.uint8)
+_SORT[[ord(c) for c in _LOWER]], _SORT[[ord(c) for c in _UPPER]], _SORT[[ord(c) for c in _DIGITS]] = 1, 2, 4
+_ALPHABETS = 16
+
+
+def _codes(token: str) -> np.ndarray:
+    return np.frombuffer(token.encode("ascii", "replace"), np.uint8) & 127
+
+
 @dataclass
-class MarkovPair:
-    """Log-likelihood ratios, random against ordinary, of a first character and of each transition."""
+class MarkovPairs:
+    """Of each alphabet the log-likelihood ratios, random against ordinary, of a first character and of each transition."""
 
     first: np.ndarray
     step: np.ndarray
 
     def ratio(self, token: str) -> float:
         """Mean log-likelihood ratio per character."""
-        codes = np.frombuffer(token.encode("ascii", "replace"), np.uint8) & 127
+        codes = _codes(token)
         if not len(codes):
             return 0.0
-        return float((self.first[codes[0]] + self.step[codes[:-1], codes[1:]].sum()) / len(codes))
-
-
-def train(samples: Iterable[tuple[str, int]], smoothing: float = 0.2) -> MarkovPair:
-    """The models of labelled tokens (text, 1 for random): counts of first characters and transitions, smoothed."""
-    first, step = np.full((2, 128), smoothing), np.full((2, 128, 128), smoothing)
-    for token, label in samples:
-        codes = np.frombuffer(token.encode("ascii", "replace"), np.uint8) & 127
-        if len(codes):
-            first[label, codes[0]] += 1
-            np.add.at(step[label], (codes[:-1], codes[1:]), 1)
-    first, step = np.log(first / first.sum(axis=1, keepdims=True)), np.log(step / step.sum(axis=2, keepdims=True))
-    return MarkovPair(first[1] - first[0], step[1] - step[0])
-
-
-def train_from(samples: DataFrame, rows: int = 100_000, smoothing: float = 0.2) -> MarkovPair:
+        alphabet = np.bitwise_or.reduce(_SORT[codes])
+        return float((self.first[alphabet, codes[0]] + self.step[alphabet, codes[:-1], codes[1:]].sum()) / len(codes))
+
+
+def train(samples: Iterable[tuple[str, int]], smoothing: float = 0.5) -> MarkovPairs:
+    """The models of labelled tokens (text, 1 for random): smoothed counts of first characters and transitions."""
+    rows = [(codes, label) for token, label in samples if len(codes := _codes(token))]
+    every = np.concatenate([x for x, _ in rows] or [np.zeros(0, np.uint8)])
+    begins = np.cumsum([0] + [len(x) for x, _ in rows])[:-1]
+    alphabets = np.bitwise_or.reduceat(_SORT[every], begins) if rows else np.zeros(0, np.uint8)
+    owner = np.repeat(np.arange(len(rows)), [len(x) for x, _ in rows])
+    group = np.array([label for _, label in rows], np.int64) * _ALPHABETS + alphabets
+    inner = np.setdiff1d(np.arange(len(every)), begins)
+    shape = (2, _ALPHABETS, 128)
+    first = np.bincount(group * 128 + every[begins], minlength=2 * _ALPHABETS * 128).reshape(shape).astype(float)
+    pairs = (group[owner[inner]] * 128 + every[inner - 1]) * 128 + every[inner]
+    step = np.bincount(pairs, minlength=2 * _ALPHABETS * 128 * 128).reshape(*shape, 128).astype(float)
+    held = (_SORT & np.arange(_ALPHABETS)[:, None]) > 0
+    return MarkovPairs(
+        _ratio(first, held, smoothing).astype(np.float32),
+        np.where(held[:, :, None], _ratio(step, held[:, None, :], smoothing), 0).astype(np.float32),
+    )
+
+
+def _ratio(counts: np.ndarray, held: np.ndarray, smoothing: float) -> np.ndarray:
+    """Log-likelihood ratios, random against ordinary, over the last axis, of counts[class, alphabet, ...]; 0 outside the alphabet.
+
+    Random strings are smoothed toward equal shares of their alphabet's characters,
+    ordinary ones toward the ordinary tokens of all alphabets: an alphabet that
+    few of them have is judged by what the others look like.
+    """
+    pooled = counts[0].sum(axis=0) + smoothing
+    pooled = pooled / pooled.sum(axis=-1, keepdims=True)
+    share = np.broadcast_to(held / np.maximum(held.sum(axis=-1, keepdims=True), 1), counts[1].shape)
+    prior = smoothing * held.sum(axis=-1, keepdims=True)
+    log = []
+    for own, other in ((counts[0], pooled), (counts[1], share)):
+        with np.errstate(divide="ignore", invalid="ignore"):
+            log.append(np.log((own + prior * other) / (own.sum(axis=-1, keepdims=True) + prior)))
+    return np.where(held, log[1] - log[0], 0.0)
+
+
+def train_from(samples: DataFrame, rows: int = 100_000, smoothing: float = 0.5) -> MarkovPairs:
     """The models of samples(token, label), of which at most `rows`, taken by a hash, are learned from."""
     chosen = samples.select("token", "label").filter("token IS NOT NULL AND label IN (0, 1)").orderBy(F.xxhash64("token", "label"), "token").limit(rows)
     return train([(r["token"], int(r["label"])) for r in chosen.collect()], smoothing)
 
 
 @lru_cache(maxsize=4)
-def _default_models(p: SecretScan) -> MarkovPair:
+def default_models(p: SecretScan) -> MarkovPairs:
+    """The models of the default samples, trained on the driver and sent to the tasks (1 MB)."""
     return train(default_samples(p), p.smoothing)
 
 
@@ -138,17 +221,9 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def model_spans(text: str, models: MarkovPair, p: SecretScan) -> list[tuple[int, int, int]]:
+def model_spans(text: str, models: MarkovPairs, p: SecretScan) -> list[tuple[int, int, int]]:
     """(start, kind, end) of the candidate tokens that the models take for random."""
-    out = []
-    for m in CANDIDATE.finditer(text):
-        token = m.group()
-        if len(set(token)) < p.distinct:
-            continue
-        mixed = any(c.isdigit() for c in token) or (any(c.isupper() for c in token[1:]) and any(c.islower() for c in token))
-        if mixed and models.ratio(token) >= p.threshold:
-            out.append((m.start(), 3, m.end()))
-    return out
+    return [(m.start(), 3, m.end()) for m in CANDIDATE.finditer(text) if models.ratio(m.group()) >= p.threshold]
 
 
 def _long_runs(block: at.TextBlock, table: np.ndarray, least: int) -> np.ndarray:
@@ -169,14 +244,13 @@ def _digest(found: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in found)
 
 
-def scan_text(text: str, models: MarkovPair, p: SecretScan) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
+def scan_text(text: str, models: MarkovPairs, p: SecretScan) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """(base spans, all spans) of a text, by start, then kind."""
     base = base_spans(text)
     return base, sorted(base + model_spans(text, models, p))
 
 
-def _scan(batches: Iterator[pa.RecordBatch], p: SecretScan, models: MarkovPair | None) -> Iterator[pa.RecordBatch]:
-    models = models or _default_models(p)
+def _scan(batches: Iterator[pa.RecordBatch], p: SecretScan, models: MarkovPairs) -> Iterator[pa.RecordBatch]:
     nothing = hashlib.sha256(b"").hexdigest()
     for batch in batches:
         for block in at.blocks(batch.column("text")):
@@ -209,21 +283,20 @@ def _scan(batches: Iterator[pa.RecordBatch], p: SecretScan, models: MarkovPair |
             )
 
 
-def secret_spans(docs: DataFrame, p: SecretScan = SecretScan(), models: MarkovPair | None = None) -> DataFrame:
+def secret_spans(docs: DataFrame, p: SecretScan = SecretScan(), models: MarkovPairs | None = None) -> DataFrame:
     """(doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_random, starts, ends) for each row of docs(doc_id, text, ...).
 
     spans lists kind:start:end in characters, end exclusive, by start and then
     kind; base_sha256 is the digest of those of the fixed patterns alone.  models
-    defaults to the pair trained from `default_samples`.  Null and empty texts
+    default to those trained from `default_samples`.  Null and empty texts
     hold nothing.  Repeated rows and null ids are scanned like any other row;
     other columns are ignored; an empty table gives an empty one.
     """
     texts = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    return texts.mapInArrow(partial(_scan, p=p, models=models), SCANNED)
+    return texts.mapInArrow(partial(_scan, p=p, models=models or default_models(p)), SCANNED)
 
 
-def _redact(batches: Iterator[pa.RecordBatch], p: SecretScan, models: MarkovPair | None, mask: str) -> Iterator[pa.RecordBatch]:
-    models = models or _default_models(p)
+def _redact(batches: Iterator[pa.RecordBatch], p: SecretScan, models: MarkovPairs, mask: str) -> Iterator[pa.RecordBatch]:
     for batch in at.released(batches):
         column = batch.column("text")
         scanned = pa.Table.from_batches(list(_scan(iter([batch.select(["doc_id", "text"])]), p, models))) if batch.num_rows else None
@@ -241,13 +314,13 @@ def _redact(batches: Iterator[pa.RecordBatch], p: SecretScan, models: MarkovPair
         yield batch.set_column(batch.schema.get_field_index("text"), "text", pa.array(texts, column.type))
 
 
-def redacted(docs: DataFrame, p: SecretScan = SecretScan(), models: MarkovPair | None = None, mask: str = "[SECRET]") -> DataFrame:
+def redacted(docs: DataFrame, p: SecretScan = SecretScan(), models: MarkovPairs | None = None, mask: str = "[SECRET]") -> DataFrame:
     """docs with every span, overlapping ones as one, replaced by the mask; all rows and columns stay.
 
     Where there is a column n_chars it becomes the length of the new text; a null
     text stays null and keeps its n_chars.
     """
-    out = docs.mapInArrow(partial(_redact, p=p, models=models, mask=mask), docs.schema)
+    out = docs.mapInArrow(partial(_redact, p=p, models=models or default_models(p), mask=mask), docs.schema)
     if "n_chars" in docs.columns:
         length = F.length("text").cast(docs.schema["n_chars"].dataType)
         out = out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(length))

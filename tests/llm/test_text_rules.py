@@ -1,6 +1,7 @@
 """Secrets, licenses, rules and chat formatting against restatements and round trips."""
 
 import hashlib
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -28,7 +29,7 @@ def brute_base(text):
 
 def test_base_spans_are_those_of_the_patterns(documents, awkward, make):
     rows = make([(i + 100, t, None, None, None) for i, t in enumerate(TEXTS)])
-    docs = documents.select("doc_id", "text").unionByName(awkward.select("doc_id", "text")).unionByName(rows.select((rows.doc_id + 10**6).alias("doc_id"), "text"))
+    docs = documents.unionByName(awkward, allowMissingColumns=True).unionByName(rows.withColumn("doc_id", rows.doc_id + 10**6), allowMissingColumns=True)
     got = Counter(tuple(r[:5]) for r in secrets.secret_spans(docs).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256").collect())
     want = Counter()
     for r in docs.collect():
@@ -38,12 +39,80 @@ def test_base_spans_are_those_of_the_patterns(documents, awkward, make):
     assert got == want
 
 
-def test_markov_models_tell_random_from_ordinary():
+def digest_tokens(letters, n, size):
+    """Random tokens over an alphabet, from digests: another source than the generator that the models are taught by."""
+    out = []
+    for i in range(n):
+        raw = b"".join(hashlib.sha512(f"{letters}{i}{k}".encode()).digest() for k in range(2))
+        out.append("".join(letters[x % len(letters)] for x in raw[:size]))
+    return out
+
+
+LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+
+
+@pytest.mark.parametrize("letters", [LOWER, UPPER, LOWER + UPPER, DIGITS + "abcdef", LOWER + DIGITS, UPPER + "234567", LOWER + UPPER + DIGITS, LOWER + UPPER + DIGITS + "-_", LOWER + UPPER + DIGITS + "+/"])
+def test_models_find_random_tokens(letters):
+    p = secrets.SecretScan()
+    models = secrets.default_models(p)
+    found = [models.ratio(t) >= p.threshold for size in (20, 32, 40) for t in digest_tokens(letters, 400, size)]
+    assert sum(found) / len(found) >= 0.98
+
+
+def test_models_leave_ordinary_tokens_alone(documents):
+    import uuid
+
+    import pandas
+    import pyarrow
+    import pyspark.sql.functions
+
+    p = secrets.SecretScan()
+    models = secrets.default_models(p)
+    names = {k for m in (pandas, pyarrow, pyspark.sql.functions) for x in vars(m).values() if isinstance(x, type) for k in [*dir(x), *dir(m)]}
+    german = "Geschwindigkeitsbegrenzung Rechtsschutzversicherung Donaudampfschifffahrt Arbeiterunfallversicherung Nahrungsmittelindustrie Selbstverwaltungsrecht".split()
+    ordinary = [x for x in names if len(x) >= 20] + german + [x.lower() for x in german]
+    ordinary += [str(uuid.uuid5(uuid.NAMESPACE_DNS, str(i))) for i in range(300)] + ["-" * 40, "=" * 25, "_" * 60, "20240131-20240229-20240331", "usr/local/share/doc/python3/examples", "12345678901234567890123"]
+    wrong = [x for x in ordinary if models.ratio(x) >= p.threshold]
+    assert len(ordinary) > 500 and len(wrong) <= 0.005 * len(ordinary)
+    words = {m for r in documents.select("text").collect() for m in secrets.CANDIDATE.findall(r["text"] or "") if re.fullmatch("[A-Za-z]+", m) and "AKIA" not in m}
+    assert not [x for x in words if models.ratio(x) >= p.threshold]
+
+
+def brute_ratio(samples, token, smoothing):
+    """The models told plainly: dictionaries of counts by alphabet, smoothed as the docstring says."""
+    sort = lambda c: "l" if c in LOWER else "u" if c in UPPER else "d" if c in DIGITS else "s"
+    alphabet = lambda t: frozenset(map(sort, t))
+    counts, pooled = Counter(), Counter()
+    for t, y in samples:
+        for i, c in enumerate(t):
+            before = t[i - 1] if i else None
+            counts[y, alphabet(t), before, c] += 1
+            counts[y, alphabet(t), before] += 1
+            if not y:
+                pooled[before, c] += 1
+                pooled[before] += 1
+    mine = alphabet(token)
+    size = sum(sort(chr(i)) in mine for i in range(128))
+    total = 0.0
+    for i, c in enumerate(token):
+        before = token[i - 1] if i else None
+        prior = {1: 1 / size, 0: (pooled[before, c] + smoothing) / (pooled[before] + 128 * smoothing)}
+        p = [(counts[y, mine, before, c] + smoothing * size * prior[y]) / (counts[y, mine, before] + smoothing * size) for y in (0, 1)]
+        total += math.log(p[1] / p[0])
+    return total / len(token)
+
+
+def test_models_against_a_plain_restatement():
+    samples = secrets.default_samples(secrets.SecretScan(samples=150))[-300:]
+    models = secrets.train(samples, 0.3)
+    for token in ["k3j4x9zq8w7m2v5t1p6r", "getUserAccountInformationHandler", "AAAA", "a", "Zz9-/", *[t for t, _ in samples[:20]]]:
+        assert abs(models.ratio(token) - brute_ratio(samples, token, 0.3)) < 1e-4
+    assert models.ratio("") == 0 and secrets.train([]).ratio("abc") < 10
+
+
+def test_model_spans_stand_beside_base_spans():
     p = secrets.SecretScan()
-    models = secrets.train(secrets.default_samples(p), p.smoothing)
-    fresh = secrets.default_samples(secrets.SecretScan(seed=99, samples=2000))
-    right = [(models.ratio(t) >= p.threshold) == bool(y) for t, y in fresh]
-    assert sum(right) / len(right) > 0.97
+    models = secrets.default_models(p)
     assert [k for _, k, _ in secrets.scan_text(TEXTS[4], models, p)[1]] == [3]
     assert secrets.scan_text(TEXTS[5], models, p)[1] == []
 
@@ -57,6 +126,7 @@ def test_redaction(make, awkward, empty):
     df = make([(1, 'a token = "abcdefgh" b ' + "0" * 30, "en", "s", 7), (2, None, "en", "s", 3), (3, "plain", "en", "s", 5)])
     got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in secrets.redacted(df).collect()}
     assert got == {1: ('a [SECRET]" b [SECRET]', 22), 2: (None, 3), 3: ("plain", 5)}
+    assert secrets.secret_spans(empty).count() == 0 and secrets.secret_spans(awkward).count() == 8
     assert secrets.redacted(awkward).count() == 8 and secrets.redacted(awkward).columns == awkward.columns and secrets.redacted(empty).count() == 0
 
 
