@@ -1,5 +1,7 @@
 """The corpus pipeline, stage by stage against what the operators say."""
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from tessellum.llm import decontam, minhash, quality, secrets
 from tests.llm.test_dedup_and_benchmark import brute_components, crowd
@@ -33,6 +35,23 @@ def test_stages_take_awkward_and_empty_documents(spark, awkward, empty, folder):
         assert stage(spark, empty, folder).count() == 0
     for name, stage in corpus_pipeline.STAGES[1:4]:
         assert stage(spark, awkward, folder).count() == (7 if "dedup" in name else 8)
+    good = corpus_pipeline.quality_stage(spark, awkward, folder)
+    assert good.columns == awkward.columns and {r["doc_id"] for r in good.collect()} <= {None, *range(1, 7)}
+    pieces = corpus_pipeline.packing_stage(spark, awkward, folder).groupBy("doc_id").count().collect()
+    assert {r["doc_id"]: r["count"] for r in pieces} == {None: 1, 1: 1, 2: 1, 3: 1, 4: 2, 5: 15, 6: 1}
+
+
+def test_columns_of_any_kind_and_name(spark, awkward, folder):
+    more = awkward.select("*", F.lit(1).alias("row_key"), F.lit(2).alias("_ROW_KEY"), F.create_map(F.lit("k"), F.lit("v")).alias("m"), F.lit(b"x").alias("raw"))
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        got = stage(spark, more, folder)
+        assert got.schema.names == more.columns and got.count() == (0 if "quality" in stage.__name__ else 7 if "near" in stage.__name__ else 8)
+
+
+def test_the_session_keeps_its_settings(spark, folder):
+    before = {name: spark.conf.get(name, None) for name in corpus_pipeline.ARROW_BOUNDS}
+    corpus_pipeline.run(spark, folder)
+    assert {name: spark.conf.get(name, None) for name in corpus_pipeline.ARROW_BOUNDS} == before
 
 
 def test_near_copies_of_four_fifths_are_dropped(spark, make, folder):
