@@ -24,16 +24,31 @@ NEAR = minhash.NearDuplicates(similarity=80, threshold=34)
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+ARROW_BOUNDS = {"spark.sql.execution.arrow.maxBytesPerBatch": BATCH_BYTES, "spark.sql.execution.arrow.maxRecordsPerBatch": BATCH_ROWS}
+
+
 def _bounded(stage: Stage) -> Stage:
-    """The stage with small Arrow batches: workers of one stage after the other share an executor's memory."""
+    """The stage with small Arrow batches: workers of one stage after the other share an executor's memory.
+
+    The settings must hold when the stage's result is written, so they stay; `run`
+    puts the session's own back.
+    """
 
     @functools.wraps(stage)
-    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    def bounded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        for name, value in ARROW_BOUNDS.items():
+            spark.conf.set(name, value)
         return stage(spark, docs, sf_dir)
 
-    return run
+    return bounded
+
+
+def _free_name(docs: DataFrame, name: str = "row_key") -> str:
+    """A column name that docs doesn't have, in any case of letters."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
 
 
 def _without(docs: DataFrame, ids: DataFrame, key: str) -> DataFrame:
@@ -53,9 +68,9 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """One document of each group of near-duplicates, linked at 0.8 or more: the one with the least doc_id.
 
     Rows are told apart by a hash of doc_id and text.  Of rows with the same
-    doc_id and text the least, by all columns, stays; rows without a doc_id stay.
+    doc_id and text one stays, the least as JSON; rows without a doc_id stay.
     """
-    key = "__row_key"
+    key = _free_name(docs)
     keyed = docs.withColumn(key, F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text")))
     found = materialise(minhash.near_duplicates(keyed.select(F.col(key).alias("doc_id"), "text"), NEAR), "near")
     rows = found.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias(key)).agg(F.count(F.lit(1)).alias("n"), F.min("component_id").alias("component"), F.min("n_shingles").alias("n_shingles"))
@@ -69,7 +84,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     if repeated.isEmpty():
         return left.select(*docs.columns)
     row = F.struct(*[F.col(c) for c in docs.columns])
-    one = left.join(repeated, key, "left_semi").groupBy(key).agg(F.min(row).alias("row")).select("row.*").select(*docs.columns)
+    one = left.join(repeated, key, "left_semi").groupBy(key).agg(F.min_by(row, F.to_json(row)).alias("row")).select("row.*").select(*docs.columns)
     return _without(left, repeated, key).select(*docs.columns).unionByName(one)
 
 
@@ -80,7 +95,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     Each row is judged by a hash of its id and text, so rows without an id, or
     with the same one, are told apart.
     """
-    key = "__row_key"
+    key = _free_name(docs)
     keyed = docs.withColumn(key, F.xxhash64("doc_id", "text"))
     judged = decontam.contamination(keyed.select(F.col(key).alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return _without(keyed, judged.filter("contaminated").select(F.col("doc_id").alias(key)), key).select(*docs.columns)
@@ -111,8 +126,18 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the table documents; each is written as Parquet and read again as the next one's documents."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), name.replace(" ", "-"))
-    return STAGES[-1][1](spark, docs, sf_dir)
+    """All stages over the table documents; each is written as Parquet and read again as the next one's documents.
+
+    The session's Arrow settings are as before when it returns: what is left to
+    do then handles short rows only.  Nulls in any column, empty and very long
+    texts, repeated rows and empty tables are handled as the stages say.
+    """
+    before = {name: spark.conf.get(name, None) for name in ARROW_BOUNDS}
+    try:
+        docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+        for name, stage in STAGES[:-1]:
+            docs = materialise(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        return STAGES[-1][1](spark, docs, sf_dir)
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
