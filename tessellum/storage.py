@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,9 +10,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session; only where that is unset, as in local tests, a folder of our own."""
+    """Our folder under spark.checkpoint.dir of the session.
+
+    Only a session in one local process may do without that setting and gets a
+    temporary folder.  Executors of their own would each write to their own
+    disk, so there it is an error.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise RuntimeError(f"spark.checkpoint.dir must name a folder that the driver and all executors of {master} share")
         folder = f"file://{tempfile.gettempdir()}/checkpoints/tessellum"
         spark.conf.set("spark.checkpoint.dir", folder)
     return f"{folder.rstrip('/')}/tessellum-{spark.sparkContext.applicationId}"
