@@ -114,11 +114,6 @@ def above_bottom(depth: Column, v: Column, height: Column, fraction: float) -> C
     return F.when(v >= height - F.floor(height * fraction), F.lit(0.0)).otherwise(depth)
 
 
-def rescaled(value: Column, old: Column, new: Column) -> Column:
-    """An intrinsic parameter for another image size along its axis."""
-    return value * new / old
-
-
 def inside(u: Column, v: Column, width: Column, height: Column) -> Column:
     """Whether fractional pixel coordinates are in the frame."""
     return (u >= 0) & (u < width) & (v >= 0) & (v < height)
@@ -129,11 +124,6 @@ def inside_truncated(u: Column, v: Column, width: Column, height: Column) -> Col
     return inside(u.cast("int"), v.cast("int"), width, height)
 
 
-def mean_absolute_difference(a: Column, b: Column) -> Column:
-    """Mean absolute difference of two descriptors, as a share of 255."""
-    return F.aggregate(F.zip_with(a, b, lambda x, y: F.abs(x - y)), F.lit(0.0), lambda s, x: s + x) / F.size(a) / 255.0
-
-
 def unit_colour(byte: Column) -> Column:
     return byte / 255.0
 
@@ -143,20 +133,12 @@ def byte_colour(unit: Column) -> Column:
     return F.floor(F.greatest(F.lit(0.0), F.least(F.lit(1.0), unit)) * 255).cast("smallint")
 
 
-def clock_seconds(hours: Column, minutes: Column, seconds: Column, millis: Column) -> Column:
-    return hours.cast("double") * 3600 + minutes.cast("double") * 60 + seconds.cast("double") + millis.cast("double") / 1000
-
-
 def frame_time(name: Column, fps: Column | float) -> Column:
     """Seconds of a frame named by its 1-based number; null for other names."""
     number = F.nullif(F.regexp_extract(name, r"^(.*)\.[^.]+$", 1), F.lit("")).try_cast("int")
     return (number - 1) / fps
 
 
-def ordered_pair(a: Column, b: Column) -> tuple[Column, Column]:
-    return F.least(a, b), F.greatest(a, b)
-
-
 def east_north_up(lat: Column, lon: Column, alt: Column, lat0: Column, lon0: Column, alt0: Column) -> Vector:
     """Metres east, north and up of a reference, over the WGS84 ellipsoid."""
     a, e2 = 6378137.0, 6.69437999014e-3

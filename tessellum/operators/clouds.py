@@ -126,7 +126,30 @@ def ray_focus(rays: DataFrame, origin: list[str], direction: list[str]) -> tuple
     return [float(x) for x in focus], float(rms)
 
 
-def capped_sample(df: DataFrame, by: list[str], order: list[str], n: int, seed: int = 0) -> DataFrame:
-    """At most n rows of each group, chosen by a hash of the order columns, the same on every run."""
-    rank = F.row_number().over(Window.partitionBy(*by).orderBy(F.xxhash64(F.lit(seed), *order), *order))
+def capped_sample(df: DataFrame, by: list[str], order: list[str], n: int, by_hash: Column | None = None) -> DataFrame:
+    """At most n rows of each group, chosen by a hash of the order columns (xxhash64 by default), the same on every run."""
+    first = F.xxhash64(*order) if by_hash is None else by_hash
+    rank = F.row_number().over(Window.partitionBy(*by).orderBy(first, *order))
     return df.withColumn("__rank", rank).filter(F.col("__rank") <= n).drop("__rank")
+
+
+def visible_from_origin(points: DataFrame, axes: list[str], cells: int = 64, radius: float = 1000.0) -> DataFrame:
+    """The points that can be seen from the origin, an approximation of hidden-point removal by a convex hull.
+
+    Directions are dealt to a cube map of cells x cells a face, and in each cell
+    only what is about as near as its nearest point is kept; nothing beyond
+    `radius` times the least distance is.  The map has 6 * cells * cells rows at
+    most, so it is broadcast.
+    """
+    x, y, z = (F.col(a) for a in axes)
+    distance = F.sqrt(x * x + y * y + z * z)
+    largest = F.greatest(F.abs(x), F.abs(y), F.abs(z))
+    face = F.when(F.abs(x) == largest, 0).when(F.abs(y) == largest, 1).otherwise(2)
+    major, first, second = (F.when(face == 0, a).when(face == 1, b).otherwise(c) for a, b, c in ((x, y, z), (y, z, x), (z, x, y)))
+    cell = [F.greatest(F.lit(0), F.least(F.lit(cells - 1), F.floor((F.try_divide(c, F.abs(major)) + 1) / 2 * cells))) for c in (first, second)]
+    names = ["__face", "__cu", "__cv"]
+    dealt = points.filter(largest > 0).select("*", distance.alias("__distance"), (face * 2 + (major < 0).cast("int")).alias(names[0]), cell[0].alias(names[1]), cell[1].alias(names[2]))
+    nearest = dealt.groupBy(*names).agg(F.min("__distance").alias("__nearest"))
+    least = dealt.agg((radius * F.min("__distance")).alias("__most"))
+    seen = dealt.join(F.broadcast(nearest.crossJoin(F.broadcast(least))), names)
+    return seen.filter((F.col("__distance") <= F.col("__nearest") * (1 + 2.0 / cells)) & (F.col("__distance") <= F.col("__most"))).select(*points.columns)

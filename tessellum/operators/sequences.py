@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from functools import partial
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessellum.storage import materialise
 
+Distance = Callable[[object, object], float]
+
 
 def either_mean(a: Column, b: Column) -> Column:
     """Mean of two values; of one where the other is null; null where both are."""
@@ -30,38 +37,68 @@ def top_rows(df: DataFrame, measure: str, tie: list[str], n: int = 5) -> DataFra
     return df.filter(F.col(measure).isNotNull()).orderBy(F.col(measure).desc(), *tie).limit(n)
 
 
-def greedy_keep(df: DataFrame, by: list[str], order: list[str], value: str, distance, threshold: float, max_gap: int = 15, keep: list[str] | None = None) -> DataFrame:
+def absolute(a: float, b: float) -> float:
+    return abs(a - b)
+
+
+def mean_difference(a: np.ndarray, b: np.ndarray) -> float:
+    """Mean absolute difference of two descriptors, as a share of 255."""
+    return float(np.abs(a - b).mean() / 255.0)
+
+
+class Keeper:
+    """The state of greedy keeping: the last value that was kept and how many rows have come since."""
+
+    def __init__(self, distance: Distance, threshold: float, max_gap: int, last=None, since: int | None = None) -> None:
+        self.distance, self.threshold, self.max_gap, self.last, self.since = distance, threshold, max_gap, last, since
+
+    def takes(self, value) -> bool:
+        """Whether the next row is kept: the first one, one that is `threshold` or more from the last kept one, and the
+        max_gap-th after it.  Unknown values differ from nothing."""
+        known = value is not None and self.last is not None
+        take = self.since is None or self.since + 1 >= self.max_gap or (known and self.distance(value, self.last) >= self.threshold)
+        self.last, self.since = (value, 0) if take else (self.last, self.since + 1)
+        return take
+
+
+def _values(column: pa.Array) -> list:
+    """Python numbers, or numpy arrays of a column of arrays; None for null."""
+    if pa.types.is_list(column.type) or pa.types.is_large_list(column.type):
+        return [None if x is None else np.asarray(x, float) for x in column.to_pylist()]
+    return column.to_pylist()
+
+
+def _walk(batches: Iterator[pa.RecordBatch], by: list[str], value: str, kept: list[str], keeper: Callable[[], Keeper]) -> Iterator[pa.RecordBatch]:
+    group, state = None, keeper()
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = list(zip(*(batch.column(c).to_pylist() for c in by), strict=True)) or [()] * batch.num_rows
+        take = []
+        for key, x in zip(keys, _values(batch.column(value)), strict=True):
+            if key != group:
+                group, state = key, keeper()
+            take.append(state.takes(x))
+        yield batch.filter(pa.array(take)).select([*by, *kept])
+
+
+def greedy_keep(
+    df: DataFrame, by: list[str], order: list[str], value: str, distance: Distance = absolute, threshold: float = 0.0, max_gap: int = 15, keep: list[str] | None = None
+) -> DataFrame:
     """Rows of each partition that differ enough from the last row *kept*, or come max_gap rows after it.
 
-    Sequential by nature, so one partition of the data is one array, walked by a
-    native fold; partitions run in parallel.  distance(a, b) is a column
-    expression.  A threshold of 0 or less keeps every row.
+    Sequential by nature: the rows of a partition are sorted and walked once, a
+    batch at a time, with only the last kept value held; partitions run in
+    parallel.  distance takes two values, numbers or numpy arrays.  A threshold of
+    0 or less keeps every row.
     """
     keep = keep or [c for c in df.columns if c not in by]
     if threshold <= 0:
         return df.select(*by, *keep)
-    row = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)], F.col(value).alias("value"), F.struct(*keep).alias("row"))
-    rows = df.groupBy(*by).agg(F.array_sort(F.collect_list(row)).alias("rows"))
-    kinds = dict(df.dtypes)
-    state = F.struct(
-        F.lit(None).cast(kinds[value]).alias("last"),
-        F.lit(0).alias("since"),
-        F.array().cast("array<int>").alias("kept"),
-        F.lit(0).alias("at"),
-    )
-
-    def step(s: Column, x: Column) -> Column:
-        take = (s["at"] == 0) | (distance(x["value"], s["last"]) >= threshold) | (s["since"] + 1 >= max_gap)
-        return F.struct(
-            F.when(take, x["value"]).otherwise(s["last"]).alias("last"),
-            F.when(take, F.lit(0)).otherwise(s["since"] + 1).alias("since"),
-            F.when(take, F.concat(s["kept"], F.array(s["at"]))).otherwise(s["kept"]).alias("kept"),
-            (s["at"] + 1).alias("at"),
-        )
-
-    kept = F.aggregate("rows", state, step, lambda s: s["kept"])
-    chosen = rows.select(*by, "rows", F.explode(kept).alias("at"))
-    return chosen.select(*by, F.get("rows", F.col("at"))["row"].alias("row")).select(*by, "row.*")
+    rows = df.select(*dict.fromkeys([*by, *order, value, *keep]))
+    dealt = (rows.repartition(*by) if by else rows.coalesce(1)).sortWithinPartitions(*by, *order)
+    walk = partial(_walk, by=by, value=value, kept=keep, keeper=partial(Keeper, distance, threshold, max_gap))
+    return dealt.mapInArrow(walk, rows.select(*by, *keep).schema)
 
 
 def even_sample(df: DataFrame, order: list[str], n: int = 9) -> DataFrame:
@@ -113,3 +150,13 @@ def loop_closure(df: DataFrame, by: list[str], order: str, axes: list[str]) -> D
     )
     ends = F.sqrt(sum(((F.col(f"last.{c}") - F.col(f"first.{c}")) * (F.col(f"last.{c}") - F.col(f"first.{c}")) for c in axes), F.lit(0.0)))
     return found.select(*by, "diagonal", F.when(F.col("diagonal") < 1e-9, F.lit(0.0)).otherwise(ends / F.nullif(F.col("diagonal"), F.lit(0.0))).alias("loop_ratio"))
+
+
+def first_rows(df: DataFrame, order: list[str], n: int | None) -> DataFrame:
+    """The first n rows by an order, such as the cap of frames in order of time; all of them where n is None or 0."""
+    return df.orderBy(*order).limit(n) if n else df
+
+
+def batches(df: DataFrame, order: list[str], size: int = 50) -> DataFrame:
+    """Rows with the number, from 0, of their batch of `size` rows by an order; the last may be smaller."""
+    return numbered(df, order, "batch").withColumn("batch", F.floor(F.col("batch") / size).cast("bigint"))

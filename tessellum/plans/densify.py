@@ -62,17 +62,22 @@ def metric_rasters(raw: DataFrame, fitted: DataFrame, min_depth: float = 0.0, bo
     near = F.lit(max(min_depth, 0.05))
     depth = g.metric_depth(F.col("depth").cast("double"), F.col("scale"), F.col("shift"), near, F.col("far"))
     made = raw.join(fitted.filter("scale IS NOT NULL"), "name").select("name", "v", "u", depth.alias("depth"))
+    return masked(made, bottom, height, sky)
+
+
+def masked(depth: DataFrame, bottom: float = 0.0, height: int | None = None, sky: DataFrame | None = None) -> DataFrame:
+    """The valid depths above a bottom strip and outside the pixels (name, v, u) of the sky."""
     if bottom > 0 and height:
-        made = made.withColumn("depth", g.above_bottom(F.col("depth"), F.col("v"), F.lit(height), bottom).cast("float"))
+        depth = depth.withColumn("depth", g.above_bottom(F.col("depth"), F.col("v"), F.lit(height), bottom).cast("float"))
     if sky is not None:
-        made = made.join(sky.select("name", "v", "u"), ["name", "v", "u"], "left_anti")
-    return made.filter("depth > 0")
+        depth = depth.join(sky.select("name", "v", "u"), ["name", "v", "u"], "left_anti")
+    return depth.filter("depth > 0")
 
 
 def unprojected(depth: DataFrame, images: DataFrame, cameras: DataFrame, colours: DataFrame | None = None, per_image: int = 50_000, seed: int = 0) -> DataFrame:
     """(x, y, z, r, g, b) in the world of valid depths, at most per_image of an image, chosen by a hash."""
     valid = depth.filter((F.col("depth") > 0.1) & (F.col("depth") < 300))
-    few = clouds.capped_sample(valid, ["name"], ["v", "u"], per_image, seed)
+    few = clouds.capped_sample(valid, ["name"], ["v", "u"], per_image, F.xxhash64(F.lit(seed), "v", "u"))
     posed = with_camera(images, cameras).withColumn("__stem", stem("name")).select("__stem", "qvec", "tvec", *_K)
     joined = few.join(posed, few["name"] == posed["__stem"])
     k = tuple(F.col(c) for c in _K)
@@ -107,14 +112,20 @@ def from_images(raw: DataFrame, images: DataFrame, cameras: DataFrame, points: D
     return from_cached_depth(depth, images, cameras, voxel, colours), depth
 
 
+def scan_in_camera(cloud: DataFrame, extrinsic: list[list[float]]) -> DataFrame:
+    """The points (x, y, z) of a scan in camera space; extrinsic is the 4x4 transform from the camera to the scanner."""
+    inverse = np.linalg.inv(np.asarray(extrinsic, float))
+    point = (F.col("x"), F.col("y"), F.col("z"))
+    moved = [sum((F.lit(float(row[j])) * point[j] for j in range(3)), F.lit(float(row[3]))) for row in inverse[:3]]
+    return cloud.select(*[c.alias(n) for c, n in zip(moved, "xyz", strict=True)])
+
+
 def lidar_raster(cloud: DataFrame, extrinsic: list[list[float]], k: tuple[float, float, float, float], width: int, height: int) -> DataFrame:
-    """(v, u, depth): least depth by pixel of a scan in camera space, out of what is visible from it.
+    """(v, u, depth): least depth by pixel of a scan in camera space, of the points before the camera that it can see.
 
     It doesn't depend on an image's pose, so it is made once for all images.
     """
-    point = (F.col("x"), F.col("y"), F.col("z"))
-    moved = [sum((F.lit(float(extrinsic[i][j])) * point[j] for j in range(3)), F.lit(float(extrinsic[i][3]))) for i in range(3)]
-    camera = cloud.select(*[c.alias(n) for c, n in zip(moved, "xyz", strict=True)]).filter("z > 0")
+    camera = clouds.visible_from_origin(scan_in_camera(cloud, extrinsic).filter("z > 0"), ["x", "y", "z"])
     u, v = g.project((F.col("x"), F.col("y"), F.col("z")), *(F.lit(float(x)) for x in k))
     return clouds.zbuffer(camera, u, v, F.col("z"), width, height)
 
@@ -126,8 +137,11 @@ def lidar_fits(lidar: DataFrame, raw: DataFrame, tolerance: float = 0.05, least:
     return fits.fit_groups(pairs, "name", "idx", "metric", "raw", tolerance, least)
 
 
-def from_lidar(raw: DataFrame, lidar: DataFrame, images: DataFrame, cameras: DataFrame, points: DataFrame, voxel: float, colours: DataFrame | None = None, **mask) -> tuple[DataFrame, DataFrame]:
-    """(cloud, metric rasters): images are aligned to the scan, else to the sparse points; where the scan aligned an image its own depths win."""
+def lidar_rasters(raw: DataFrame, lidar: DataFrame, images: DataFrame, cameras: DataFrame, points: DataFrame, min_depth: float = 0.0, **mask) -> DataFrame:
+    """Metric rasters of images aligned to the scan, else to the sparse points; where the scan aligned an image its own depths win.
+
+    The strip and the sky are left out of both.
+    """
     sparse = scale_fits(anchors(images, cameras, points), raw).select("name", F.col("scale").alias("s2"), F.col("shift").alias("b2"), F.col("far").alias("f2"))
     scan = lidar_fits(lidar, raw).filter("scale IS NOT NULL").select("name", F.col("scale").alias("s1"), F.col("shift").alias("b1"))
     top = lidar.agg((20 * F.max("depth")).alias("top"))
@@ -139,9 +153,14 @@ def from_lidar(raw: DataFrame, lidar: DataFrame, images: DataFrame, cameras: Dat
         F.coalesce(F.greatest("f2", "top"), F.lit(10.0)).alias("far"),
         F.col("s1").isNotNull().alias("scanned"),
     )
-    made = metric_rasters(raw, chosen, **mask)
+    made = metric_rasters(raw, chosen, min_depth)
     fill = lidar.crossJoin(F.broadcast(chosen.filter("scanned").select("name"))).select("name", "v", "u", F.col("depth").cast("float").alias("scan"))
-    merged = made.join(fill, ["name", "v", "u"], "full").select("name", "v", "u", F.coalesce("scan", "depth").alias("depth"))
+    return masked(made.join(fill, ["name", "v", "u"], "full").select("name", "v", "u", F.coalesce("scan", "depth").alias("depth")), **mask)
+
+
+def from_lidar(raw: DataFrame, lidar: DataFrame, images: DataFrame, cameras: DataFrame, points: DataFrame, voxel: float, colours: DataFrame | None = None, **mask) -> tuple[DataFrame, DataFrame]:
+    """(cloud, metric rasters) of raw disparities aligned to a scan and the sparse points."""
+    merged = lidar_rasters(raw, lidar, images, cameras, points, **mask)
     return from_cached_depth(merged, images, cameras, voxel, colours), merged
 
 
@@ -217,3 +236,11 @@ def oriented(images: DataFrame, points: DataFrame, rotation: np.ndarray) -> tupl
     """A model under a rotation that the caller found for its up axis."""
     still = np.zeros(3)
     return moved_images(images, 1.0, rotation, still), moved_points(points, 1.0, rotation, still)
+
+
+def united(*parts: DataFrame) -> DataFrame:
+    """The clouds (x, y, z, r, g, b) of several sources or batches as one."""
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.unionByName(part)
+    return every

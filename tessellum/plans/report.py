@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import base64
 import html
+from pathlib import Path
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessellum.kernels import images as kernels
 from tessellum.operators import measures, sequences
 from tessellum.plans import diagnostics
 
@@ -47,8 +51,34 @@ def depth_limits(depth: DataFrame) -> DataFrame:
     return got.select("name", F.coalesce(F.col("p")[0], F.lit(0.0)).alias("p2"), F.coalesce(F.col("p")[1], F.lit(1.0)).alias("p98"))
 
 
-def page(stats: DataFrame, images: DataFrame, sfm_points: DataFrame, points: DataFrame, depth: DataFrame | None = None) -> str:
-    """The report; sections without data are left out."""
+def _pictures(title: str, found: list[tuple[str, bytes]]) -> str:
+    """PNG files (name, bytes) side by side, inside the page."""
+    shown = "".join(f'<figure><img width="280" alt="{html.escape(n)}" src="data:image/png;base64,{base64.b64encode(x).decode()}"><figcaption>{html.escape(n)}</figcaption></figure>' for n, x in found)
+    return f"<section><h2>{html.escape(title)}</h2>{shown}</section>" if found else ""
+
+
+def sample_frames(images: DataFrame, folder: str, n: int = 9) -> list[tuple[str, bytes]]:
+    """The PNG files of n evenly spaced images that are in a folder."""
+    names = dict.fromkeys(r["name"] for r in sequences.even_sample(images.select("name"), ["name"], n).orderBy("slot").collect())
+    paths = [Path(folder) / x for x in names]
+    return [(p.name, p.read_bytes()) for p in paths if p.suffix.lower() == ".png" and p.exists()]
+
+
+def depth_pictures(depth: DataFrame, n: int = 3) -> list[tuple[str, bytes]]:
+    """n evenly spaced rasters in gray, near ones bright, between their percentiles of 2 and 98; empty pixels are black."""
+    chosen = sequences.even_sample(depth.select("name").distinct(), ["name"], n).select("name").distinct()
+    out = []
+    for r in depth_limits(depth.join(chosen, "name", "left_semi")).orderBy("name").collect():
+        pixels = depth.filter(F.col("name") == r["name"]).select("v", "u", "depth").toPandas()
+        shade = 1 - (pixels["depth"].to_numpy(float) - r["p2"]) / max(r["p98"] - r["p2"], 1e-6)
+        image = np.zeros((pixels["v"].max() + 1, pixels["u"].max() + 1), np.uint8)
+        image[pixels["v"], pixels["u"]] = np.clip(shade, 0, 1) * 225 + 30
+        out.append((r["name"], kernels.png(image)))
+    return out
+
+
+def page(stats: DataFrame, images: DataFrame, sfm_points: DataFrame, points: DataFrame, depth: DataFrame | None = None, frames: str | None = None) -> str:
+    """The report; sections without data are left out.  frames: the folder of the images, for samples of them."""
     tracks = sfm_points.select(F.coalesce(F.size("track"), F.lit(0)).alias("length"))
     scene, found = diagnostics.scene_type(images, points), diagnostics.coverage(images, sfm_points)
     parts = [
@@ -62,6 +92,8 @@ def page(stats: DataFrame, images: DataFrame, sfm_points: DataFrame, points: Dat
         _bars("Track length", measures.track_histogram(tracks, "length")),
         _table("Observations", observations(images)),
         _table("Sample frames", sequences.even_sample(images.select("name"), ["name"], 9).orderBy("slot")),
+        _pictures("Frames", sample_frames(images, frames)) if frames else "",
         _table("Depth", depth_limits(depth)) if depth is not None else "",
+        _pictures("Depth pictures", depth_pictures(depth)) if depth is not None else "",
     ]
     return f"<!doctype html><html><head><meta charset='utf-8'><title>Report</title></head><body>{''.join(parts)}</body></html>\n"

@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessellum import schemas
 from tessellum.functions import geometry as g
 from tessellum.kernels import fits
 from tessellum.operators import clouds, joins, measures, sequences
-from tessellum.sources import texts
+from tessellum.plans import densify, diagnostics, report
+from tessellum.sources import models, texts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -36,6 +38,12 @@ def seconds(ts: str = "ts") -> Column:
     return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'2024-01-01 00:00:00', {ts})") / 1e6
 
 
+def settled(column: str, digits: int) -> Column:
+    """A mean of few-digit numbers, rounded.  It may lie halfway between two roundings and a hair off by the order of
+    its sum; a billionth more, in the SQL too, takes it above."""
+    return F.round(F.col(column) + 1e-9, digits)
+
+
 _SECONDS = "(date_diff('microsecond', TIMESTAMP '2024-01-01 00:00:00', ts) / 1e6)"
 
 
@@ -89,7 +97,7 @@ FROM w JOIN e ON e.user_id = w.user_id AND e.rn = w.rn + 1)
 SELECT user_id, event_id FROM w WHERE kept""")
 def greedy_dedup(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("user_id", "event_id", "ts", "value")
-    return sequences.greedy_keep(events, ["user_id"], ["ts", "event_id"], "value", lambda a, b: F.abs(a - b), 50.0, 15, ["event_id"])
+    return sequences.greedy_keep(events, ["user_id"], ["ts", "event_id"], "value", sequences.absolute, 50.0, 15, ["event_id"])
 
 
 @query(f"""WITH v AS (SELECT event_id, user_id, {_SECONDS} AS t FROM events WHERE event_type = 'view'),
@@ -124,11 +132,12 @@ def merge_pairs(spark, sf_dir):
     return joins.merged_pairs(window_pairs(spark, sf_dir), knn_top20(spark, sf_dir))
 
 
-@query("""SELECT o_orderkey, count(*) AS n, round(median(l_extendedprice), 4) AS median_price FROM orders JOIN lineitem ON o_orderkey = l_orderkey
-GROUP BY o_orderkey HAVING count(*) >= 5""")
+@query("""SELECT o_orderkey, count(*) AS n, round(median(l_extendedprice), 4) AS median_price FROM (SELECT o_orderkey, unnest([o_orderkey, o_orderkey + 1, o_orderkey, -1, 1000000000000000]) AS ref FROM orders)
+JOIN lineitem ON ref = l_orderkey GROUP BY o_orderkey HAVING count(*) >= 5""")
 def visible_join(spark, sf_dir):
+    """Owners with repeated, dangling and negative references."""
     items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_extendedprice")
-    owners = table(spark, sf_dir, "orders").select("o_orderkey", F.array("o_orderkey").alias("refs"))
+    owners = table(spark, sf_dir, "orders").select("o_orderkey", F.array("o_orderkey", F.col("o_orderkey") + 1, "o_orderkey", F.lit(-1).cast("bigint"), F.lit(10**15).cast("bigint")).alias("refs"))
     seen = joins.visible(owners, items, "o_orderkey", "refs", "l_orderkey")
     grouped = seen.groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("n"), F.round(F.percentile("l_extendedprice", F.lit(0.5)), 4).alias("median_price"))
     return grouped.filter("n >= 5")
@@ -147,13 +156,13 @@ def left_anti_missing(spark, sf_dir):
 
 
 @query("""SELECT floor(l_quantity / 5)::BIGINT AS cq, floor(l_extendedprice / 5000)::BIGINT AS ce, floor(l_discount / 0.02)::BIGINT AS cd, count(*) AS n,
-round(avg(l_quantity), 4) AS q, round(avg(l_extendedprice), 3) AS e, round(avg(l_discount), 5) AS d FROM lineitem GROUP BY ALL""")
+round(avg(l_quantity) + 1e-9, 4) AS q, round(avg(l_extendedprice) + 1e-9, 3) AS e, round(avg(l_discount) + 1e-9, 5) AS d FROM lineitem GROUP BY ALL""")
 def voxel_downsample(spark, sf_dir):
     axes = ["l_quantity", "l_extendedprice", "l_discount"]
     got = clouds.voxel_downsample(table(spark, sf_dir, "lineitem").select(*axes), axes, [5.0, 5000.0, 0.02])
     return got.select(
         F.col("cell_l_quantity").alias("cq"), F.col("cell_l_extendedprice").alias("ce"), F.col("cell_l_discount").alias("cd"), "n",
-        F.round("l_quantity", 4).alias("q"), F.round("l_extendedprice", 3).alias("e"), F.round("l_discount", 5).alias("d"),
+        settled("l_quantity", 4).alias("q"), settled("l_extendedprice", 3).alias("e"), settled("l_discount", 5).alias("d"),
     )
 
 
@@ -167,14 +176,14 @@ def _escalation(most: int, tries: int) -> str:
             f"l{k} AS MATERIALIZED (SELECT sum(n)::BIGINT AS n, sum(q * n) / sum(n) AS q, sum(e * n) / sum(n) AS e FROM {before} WHERE (SELECT count(*) FROM {before}) > {most} "
             f"GROUP BY floor(q / {5.0 * scale!r}::DOUBLE), floor(e / {2000.0 * scale!r}::DOUBLE) UNION ALL SELECT * FROM {before} WHERE (SELECT count(*) FROM {before}) <= {most})"
         )
-    return f"WITH {', '.join(levels)} SELECT n, round(q, 4) AS q, round(e, 2) AS e FROM l{tries}"
+    return f"WITH {', '.join(levels)} SELECT n, round(q + 1e-9, 4) AS q, round(e + 1e-9, 2) AS e FROM l{tries}"
 
 
 @query(_escalation(120, 6))
 def voxel_escalate(spark, sf_dir):
     axes = ["l_quantity", "l_extendedprice"]
     cloud, _, _ = clouds.voxel_escalate(table(spark, sf_dir, "lineitem").select(*axes), axes, [5.0, 2000.0], 120, tries=6)
-    return cloud.select("n", F.round("l_quantity", 4).alias("q"), F.round("l_extendedprice", 2).alias("e"))
+    return cloud.select("n", settled("l_quantity", 4).alias("q"), settled("l_extendedprice", 2).alias("e"))
 
 
 @query("""SELECT trunc(l_quantity / (l_discount + 0.5))::INT AS u, trunc(100 * l_tax / (l_discount + 0.5))::INT AS v, min(l_extendedprice) AS depth FROM lineitem
@@ -334,21 +343,9 @@ def time_parse_srt(spark, sf_dir):
     return texts.parse_srt_keyed(made, "event_id").select("event_id", "time_sec", "lat", "lon", "alt")
 
 
-@query(f"""SELECT seq, round(t - min(t) OVER (), 3) AS time_sec, round(20 + value / 100, 6) AS lat, round(110 + value / 100, 6) AS lon, 0.0::DOUBLE AS alt
-FROM (SELECT row_number() OVER (ORDER BY ts, event_id) - 1 AS seq, value, floor({_SECONDS}) AS t FROM events WHERE user_id = (SELECT min(user_id) FROM events))""")
-def gpx_parse(spark, sf_dir):
-    """A track made of one user's events and parsed again; elevations are missing."""
-    events = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value")
-    one = events.join(F.broadcast(events.agg(F.min("user_id").alias("user_id"))), "user_id")
-    point = F.format_string('<trkpt lat="%.6f" lon="%.6f"><time>%s</time></trkpt>', 20 + F.col("value") / 100, 110 + F.col("value") / 100, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
-    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ts", "event_id", point.alias("p")))), lambda x: x["p"]), "")
-    made = one.agg(F.concat(F.lit("<gpx><trk><trkseg>"), body, F.lit("</trkseg></trk></gpx>")).alias("value"))
-    return texts.parse_gpx(made).select("seq", F.round("time_sec", 3).alias("time_sec"), "lat", "lon", "alt")
-
-
 @query(f"""SELECT user_id, seq, round(t - min(t) OVER (PARTITION BY user_id), 3) AS time_sec, round(20 + value / 100, 6) AS lat, round(110 + value / 100, 6) AS lon, 0.0::DOUBLE AS alt
 FROM (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS seq, value, floor({_SECONDS}) AS t FROM events)""")
-def gpx_tracks(spark, sf_dir):
+def gpx_parse(spark, sf_dir):
     """A track made of each user's events and parsed again; elevations are missing."""
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value")
     point = F.format_string('<trkpt lat="%.6f" lon="%.6f"><time>%s</time></trkpt>', 20 + F.col("value") / 100, 110 + F.col("value") / 100, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
@@ -357,18 +354,37 @@ def gpx_tracks(spark, sf_dir):
     return texts.parse_gpx_keyed(made, "user_id").select("user_id", "seq", F.round("time_sec", 3).alias("time_sec"), "lat", "lon", "alt")
 
 
-@query("""SELECT least(n, 10) AS n, l_returnflag FROM (SELECT l_returnflag, count(*) AS n FROM lineitem GROUP BY l_returnflag)""")
+_SAMPLED = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+
+
+@query(f"""SELECT l_returnflag, {', '.join(_SAMPLED)} FROM (SELECT *, row_number() OVER (PARTITION BY l_returnflag ORDER BY md5(concat_ws('|', {', '.join(_SAMPLED)})), {', '.join(_SAMPLED)}) AS rn FROM lineitem) WHERE rn <= 10""")
 def hash_sample(spark, sf_dir):
-    """How many rows a deterministic sample of at most ten a group holds."""
-    columns = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice"]
-    sample = clouds.capped_sample(table(spark, sf_dir, "lineitem").select("l_returnflag", *columns), ["l_returnflag"], columns, 10)
-    return sample.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n")).select("n", "l_returnflag")
+    """The rows of a deterministic sample of at most ten a group, in the order of a hash that SQL has too."""
+    items = table(spark, sf_dir, "lineitem").select("l_returnflag", *_SAMPLED)
+    return clouds.capped_sample(items, ["l_returnflag"], _SAMPLED, 10, F.md5(F.concat_ws("|", *_SAMPLED)))
 
 
-@query()
+@query("""SELECT event_type, 2.0::DOUBLE AS scale, 3.0::DOUBLE AS shift, count(*) FILTER (WHERE event_id % 5 <> 0) AS n_inliers FROM events GROUP BY event_type""")
 def ransac_fit(spark, sf_dir):
-    e = table(spark, sf_dir, "events").select("event_type", "event_id", "value", (2 * F.col("value") + 3 + (F.col("event_id") % 7) / 100).alias("metric"))
-    return fits.fit_groups(e, "event_type", "event_id", "metric", "value", 0.05, 20)
+    """Lines through groups of which every fifth row lies far off."""
+    off = F.when(F.col("event_id") % 5 == 0, 50 + F.col("event_id") % 89).otherwise(0)
+    e = table(spark, sf_dir, "events").select("event_type", "event_id", "value", (2 * F.col("value") + 3 + off).alias("metric"))
+    found = fits.fit_groups(e, "event_type", "event_id", "metric", "value", 0.05, 20)
+    return found.select("event_type", F.round("scale", 6).alias("scale"), F.round("shift", 6).alias("shift"), "n_inliers")
+
+
+@query("""SELECT label, count(*) AS n, round(1 + label / 10.0::DOUBLE, 6) AS scale, round(cos(radians(20 + 5 * label)), 6) AS r00, round(sin(radians(20 + 5 * label)), 6) AS r10,
+label::DOUBLE AS tx, 2.0::DOUBLE AS ty, -1.0::DOUBLE AS tz FROM embeddings GROUP BY label""")
+def umeyama(spark, sf_dir):
+    """The similarity of each label's points with those points scaled, turned about an axis and moved."""
+    e = table(spark, sf_dir, "embeddings").select("label", "vec_id", *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate("xyz")])
+    turn, size = F.radians(20 + 5 * F.col("label")), 1 + F.col("label") / 10
+    x = size * (F.cos(turn) * F.col("x") - F.sin(turn) * F.col("y")) + F.col("label")
+    y = size * (F.sin(turn) * F.col("x") + F.cos(turn) * F.col("y")) + 2
+    moved = e.select("*", x.alias("u"), y.alias("v"), (size * F.col("z") - 1).alias("w"))
+    found = fits.similarity_groups(moved, "label", ["x", "y", "z"], ["u", "v", "w"])
+    parts = {"r00": F.col("rotation")[0], "r10": F.col("rotation")[3], **{f"t{a}": F.col("translation")[i] for i, a in enumerate("xyz")}}
+    return found.select("label", "n", F.round("scale", 6).alias("scale"), *[F.round(c, 6).alias(n) for n, c in parts.items()])
 
 
 @query("""SELECT count(*) AS n, round(arg_min(s, seq), 6) AS first_time, round(arg_max(s, seq), 6) AS last_time, min(value) AS min_value, max(value) AS max_value
@@ -407,14 +423,186 @@ def rebased_times(spark, sf_dir):
     return sequences.rebased(e, ["user_id"], "t", ["ts", "event_id"]).select("user_id", "event_id", F.round("t", 6).alias("t"))
 
 
-@query("SELECT 7::BIGINT AS n_extracted, 5::BIGINT AS n_after_blur, 4::BIGINT AS n_after_dedup, '{\"fps\": 5}' AS args")
+@query("""SELECT event_type AS args, count(*) AS n_extracted, count(*) FILTER (WHERE value > 20) AS n_after_blur, count(*) FILTER (WHERE value > 60) AS n_after_dedup FROM events GROUP BY event_type""")
 def config_roundtrip(spark, sf_dir):
-    return texts.config_from_json(texts.config_json(texts.config_row(spark, {"fps": 5}, 7, 5, 4))).select("n_extracted", "n_after_blur", "n_after_dedup", "args")
+    """Configurations, one of each event type, written as JSON and read again."""
+    rows = table(spark, sf_dir, "events").groupBy(F.col("event_type").alias("args")).agg(
+        F.count(F.lit(1)).alias("n_extracted"), F.count_if(F.col("value") > 20).alias("n_after_blur"), F.count_if(F.col("value") > 60).alias("n_after_dedup")
+    )
+    return texts.config_from_json(texts.config_json(rows)).select("args", "n_extracted", "n_after_blur", "n_after_dedup")
 
 
-@query("""SELECT l_orderkey, count(*) AS n, round(quantile_cont(l_extendedprice, 0.5), 4) AS median, round(quantile_cont(l_extendedprice, 0.98), 4) AS p98 FROM lineitem WHERE l_extendedprice > 0 GROUP BY l_orderkey""")
+@query("""SELECT l_orderkey::VARCHAR AS name, round(quantile_cont(l_extendedprice, 0.02), 4) AS p2, round(quantile_cont(l_extendedprice, 0.98), 4) AS p98 FROM lineitem WHERE l_extendedprice > 0 GROUP BY l_orderkey""")
 def raster_percentiles(spark, sf_dir):
-    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_extendedprice").filter("l_extendedprice > 0")
-    at = F.percentile("l_extendedprice", F.array(F.lit(0.5), F.lit(0.98)))
-    got = items.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"), at.alias("p"))
-    return got.select("l_orderkey", "n", F.round(F.col("p")[0], 4).alias("median"), F.round(F.col("p")[1], 4).alias("p98"))
+    items = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("string").alias("name"), F.col("l_extendedprice").alias("depth"))
+    return report.depth_limits(items).select("name", F.round("p2", 4).alias("p2"), F.round("p98", 4).alias("p98"))
+
+
+# Cameras, images and points told by the tables: an order is an image that sees the parts of its lines.
+
+_MODELS = "CASE p_partkey % 3 WHEN 0 THEN 'SIMPLE_RADIAL' WHEN 1 THEN 'PINHOLE' ELSE 'OPENCV' END"
+
+
+def _cameras(spark: SparkSession, sf_dir: str) -> DataFrame:
+    size = F.col("p_size").cast("double")
+    return table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("camera_id"), F.expr(_MODELS).alias("model"), F.lit(320).cast("bigint").alias("width"), F.lit(240).cast("bigint").alias("height"),
+        F.array(100 + size, 200 + size, 160 + size, 120 + size, *[F.lit(0.0)] * 4).alias("params"),
+    )
+
+
+@query(f"""SELECT p_partkey AS camera_id, fx, fy, cx, cy FROM (SELECT p_partkey, 100.0::DOUBLE + p_size AS fx, CASE WHEN m THEN 100.0::DOUBLE + p_size ELSE 200.0::DOUBLE + p_size END AS fy,
+CASE WHEN m THEN 200.0::DOUBLE + p_size ELSE 160.0::DOUBLE + p_size END AS cx, CASE WHEN m THEN 160.0::DOUBLE + p_size ELSE 120.0::DOUBLE + p_size END AS cy
+FROM (SELECT *, {_MODELS} = 'SIMPLE_RADIAL' AS m FROM part))""")
+def camera_intrinsics(spark, sf_dir):
+    """Each image with the intrinsics of its camera, whatever the camera's model."""
+    cameras = _cameras(spark, sf_dir)
+    seen = densify.with_camera(cameras.select("camera_id"), cameras)
+    return seen.select("camera_id", "fx", "fy", F.col("ppx").alias("cx"), F.col("ppy").alias("cy"))
+
+
+def _images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list("l_partkey")).alias("parts"))
+    point = lambda k: F.struct(F.lit(0.0).alias("x"), F.lit(0.0).alias("y"), k.alias("point3d_id"))
+    seen = F.concat(F.transform("parts", point), F.array(point(F.lit(-1).cast("bigint")), point(F.lit(10**15).cast("bigint"))))
+    key = F.col("l_orderkey")
+    return items.select(
+        key.alias("image_id"), F.array(*[F.lit(x) for x in (1.0, 0.0, 0.0, 0.0)]).alias("qvec"),
+        F.array((-(key % 11)).cast("double"), F.lit(-2.0), F.lit(5.0)).alias("tvec"), F.lit(1).cast("bigint").alias("camera_id"), F.format_string("%09d.png", "l_orderkey").alias("name"), seen.alias("points2d"),
+    )
+
+
+def _points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = table(spark, sf_dir, "part")
+    return part.select(
+        F.col("p_partkey").alias("point_id"), (F.col("p_partkey") % 13).cast("double").alias("x"), (F.col("p_size") / 10.0).alias("y"), (F.col("p_retailprice") / 500).alias("z"),
+        *[F.lit(7).cast("smallint").alias(c) for c in "rgb"], ((F.col("p_size") - 5) / 10.0).alias("error"), F.array().cast("array<struct<image_id: bigint, point2d_idx: bigint>>").alias("track"),
+    )
+
+
+_SEEN = """(SELECT l_orderkey, l_orderkey % 11 AS cx, 2 AS cy, -5 AS cz, p_partkey % 13 AS x, p_size / 10.0::DOUBLE AS y, p_retailprice / 500 AS z, p_partkey FROM lineitem JOIN part ON l_partkey = p_partkey)"""
+
+
+@query(f"""SELECT l_orderkey AS image_id, round(CASE WHEN count(*) >= 5 THEN median(sqrt((x-cx)*(x-cx) + (y-cy)*(y-cy) + (z-cz)*(z-cz))) END, 6) AS local_depth FROM {_SEEN} GROUP BY l_orderkey""")
+def local_depths(spark, sf_dir):
+    """The median distance from an image to what it sees; negative and dangling ids fall out, repeated ones stay."""
+    got = diagnostics.local_depths(_images(spark, sf_dir), _points(spark, sf_dir))
+    return got.select("image_id", F.round("local_depth", 6).alias("local_depth"))
+
+
+@query(f"""SELECT l_orderkey AS image_id, u::INT AS u, v::INT AS v, round(z + 5, 6) AS z FROM (SELECT *, trunc(fu) AS u, trunc(fv) AS v, count(*) OVER (PARTITION BY l_orderkey) AS n FROM
+(SELECT *, 100.0::DOUBLE * (x - cx) / (z + 5) + 160 AS fu, 100.0::DOUBLE * (y - cy) / (z + 5) + 120 AS fv FROM {_SEEN}) WHERE z + 5 > 0 AND fu >= 0 AND fu < 320 AND fv >= 0 AND fv < 240) WHERE n >= 4""")
+def anchors(spark, sf_dir):
+    """The points that images see, projected into the frame, of images with four of them or more."""
+    camera = spark.createDataFrame([(1, "PINHOLE", 320, 240, [100.0, 100.0, 160.0, 120.0])], schemas.CAMERAS)
+    got = densify.anchors(_images(spark, sf_dir), camera, _points(spark, sf_dir), 4)
+    return got.select("image_id", "u", "v", F.round("z", 6).alias("z"))
+
+
+@query("""SELECT count(*) AS n, round(avg((p_size - 5) / 10.0::DOUBLE), 6) AS mean, round(quantile_cont((p_size - 5) / 10.0::DOUBLE, 0.5), 6) AS median, round(quantile_cont((p_size - 5) / 10.0::DOUBLE, 0.95), 6) AS p95 FROM part WHERE p_size > 5""")
+def error_summary(spark, sf_dir):
+    got = measures.positive_summary(_points(spark, sf_dir), "error")
+    return got.select("n", *[F.round(c, 6).alias(c) for c in ("mean", "median", "p95")])
+
+
+@query("SELECT printf('%09d.png', l_orderkey) AS name, count(*) + 1 AS n FROM lineitem GROUP BY l_orderkey")
+def observation_counts(spark, sf_dir):
+    """How many points each image observes; a dangling id counts, a negative one doesn't."""
+    return report.observations(_images(spark, sf_dir)).select("name", F.col("n").cast("bigint").alias("n"))
+
+
+@query("""SELECT p_partkey AS point_id, printf('%d %.6f %.6f %.6f 7 7 7 %.6f ', p_partkey, (p_partkey % 13)::DOUBLE, p_size / 10.0::DOUBLE, p_retailprice / 500, (p_size - 5) / 10.0::DOUBLE) AS line FROM part""")
+def points_text(spark, sf_dir):
+    return models.points_text(_points(spark, sf_dir))
+
+
+@query("SELECT event_type AS name, event_type || printf(' %.8f %.8f %.3f', round(min(value), 3), round(max(value), 3), count(*)::DOUBLE) AS line FROM events GROUP BY event_type")
+def reference_list(spark, sf_dir):
+    """Lines of a position reference list."""
+    e = table(spark, sf_dir, "events").groupBy(F.col("event_type").alias("name"))
+    return texts.reference_lines(e.agg(F.round(F.min("value"), 3).alias("lat"), F.round(F.max("value"), 3).alias("lon"), F.count(F.lit(1)).cast("double").alias("alt")))
+
+
+@query("SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderkey) - 1) // 50 AS batch FROM orders")
+def frame_batches(spark, sf_dir):
+    return sequences.batches(table(spark, sf_dir, "orders").select("o_orderkey"), ["o_orderkey"], 50)
+
+
+@query("SELECT o_orderkey FROM orders ORDER BY o_orderkey LIMIT 100")
+def first_frames(spark, sf_dir):
+    """The cap of frames: the first ones in order of time."""
+    return sequences.first_rows(table(spark, sf_dir, "orders").select("o_orderkey"), ["o_orderkey"], 100)
+
+
+@query("""SELECT count(*) AS n_images, (SELECT count(*) FROM part) AS n_points, count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l AND o_orderkey % 10 <> 3)) AS n_missing,
+(SELECT count(*) FROM orders WHERE o_orderkey % 10 <> 3 AND o_orderkey % 7 = 0) AS n_empty, FALSE AS valid FROM (SELECT DISTINCT l_orderkey AS l FROM lineitem)""")
+def validation(spark, sf_dir):
+    """Images without a file and empty files, of a table of files."""
+    files = table(spark, sf_dir, "orders").filter("o_orderkey % 10 <> 3").select(F.format_string("%09d.png", "o_orderkey").alias("name"), F.when(F.col("o_orderkey") % 7 == 0, 0).otherwise(5).alias("size"))
+    return diagnostics.validation(_images(spark, sf_dir), _points(spark, sf_dir), files)
+
+
+@query("""SELECT count(*) AS n_files, sum(p_size)::BIGINT AS bytes FROM part WHERE p_name NOT IN (SELECT min(p_name) FROM part)""")
+def freed_bytes(spark, sf_dir):
+    files = table(spark, sf_dir, "part").select(F.col("p_name").alias("name"), F.col("p_size").alias("size"))
+    return diagnostics.freed(files, [files.agg(F.min("name")).first()[0]])
+
+
+@query("SELECT min(p_brand) AS name FROM (SELECT p_brand, count(*) AS n FROM part GROUP BY p_brand) WHERE n = (SELECT max(n) FROM (SELECT count(*) AS n FROM part GROUP BY p_brand))")
+def largest_model(spark, sf_dir):
+    return diagnostics.largest_model(table(spark, sf_dir, "part").groupBy(F.col("p_brand").alias("name")).agg(F.count(F.lit(1)).alias("n_images")))
+
+
+_DEPTHS = "(SELECT p_partkey, 0.5::DOUBLE + p_size / 100.0::DOUBLE AS i, p_partkey % 320 AS u, p_partkey % 240 AS v FROM part)"
+
+
+@query(f"""SELECT p_partkey, v::INT AS v, u::INT AS u, round(1 / i, 4) AS depth FROM {_DEPTHS} WHERE 1 / i > 1.2 AND v < 240 - 24 AND p_partkey % 4 <> 0""")
+def metric_rasters(spark, sf_dir):
+    """Metric depths of disparities under their image's fit, without the near, the bottom strip and the sky."""
+    raw = table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("name"), (F.col("p_partkey") % 240).cast("int").alias("v"), (F.col("p_partkey") % 320).cast("int").alias("u"), F.col("p_size").cast("double").alias("depth"))
+    fitted = raw.select("name", F.lit(0.01).alias("scale"), F.lit(0.5).alias("shift"), F.lit(40.0).alias("far"))
+    made = densify.metric_rasters(raw, fitted, 1.2, 0.1, 240, raw.filter(F.col("name").cast("bigint") % 4 == 0).select("name", "v", "u"))
+    return made.select(F.col("name").cast("bigint").alias("p_partkey"), "v", "u", F.round(F.col("depth").cast("double"), 4).alias("depth"))
+
+
+@query(f"""SELECT round(x, 4) AS x, round(y, 4) AS y, round(z, 4) AS z FROM (SELECT ((u - 160) / 100.0::DOUBLE * d + p_partkey % 11) AS x, ((v - 120) / 100.0::DOUBLE * d + 2) AS y, d - 5 AS z FROM (SELECT *, 1 / i AS d FROM {_DEPTHS}))""")
+def unproject_world(spark, sf_dir):
+    """Points in the world of depth pixels, a raster for each part."""
+    part = table(spark, sf_dir, "part")
+    depth = part.select(F.format_string("%09d", "p_partkey").alias("name"), (F.col("p_partkey") % 240).cast("int").alias("v"), (F.col("p_partkey") % 320).cast("int").alias("u"), (1 / (0.5 + F.col("p_size") / 100.0)).alias("depth"))
+    camera = spark.createDataFrame([(1, "PINHOLE", 320, 240, [100.0, 100.0, 160.0, 120.0])], schemas.CAMERAS)
+    images = part.select(F.format_string("%09d.png", "p_partkey").alias("name"), F.array(*[F.lit(x) for x in (1.0, 0.0, 0.0, 0.0)]).alias("qvec"), F.array((-(F.col("p_partkey") % 11)).cast("double"), F.lit(-2.0), F.lit(5.0)).alias("tvec"), F.lit(1).cast("bigint").alias("camera_id"))
+    got = densify.unprojected(depth, images, camera)
+    return got.select(*[F.round(c, 4).alias(c) for c in "xyz"])
+
+
+@query("""SELECT event_id, round(-sin(radians(8)) * dx + cos(radians(8)) * dy, 3) AS e, round(-sin(radians(47)) * cos(radians(8)) * dx - sin(radians(47)) * sin(radians(8)) * dy + cos(radians(47)) * dz, 3) AS n,
+round(cos(radians(47)) * cos(radians(8)) * dx + cos(radians(47)) * sin(radians(8)) * dy + sin(radians(47)) * dz, 3) AS u
+FROM (SELECT event_id, (nn + alt) * cos(phi) * cos(lam) - n0 * cos(radians(47)) * cos(radians(8)) AS dx, (nn + alt) * cos(phi) * sin(lam) - n0 * cos(radians(47)) * sin(radians(8)) AS dy,
+(nn * (1 - 6.69437999014e-3) + alt) * sin(phi) - n0 * (1 - 6.69437999014e-3) * sin(radians(47)) AS dz
+FROM (SELECT *, 6378137.0 / sqrt(1 - 6.69437999014e-3 * pow(sin(phi), 2)) AS nn, 6378137.0 / sqrt(1 - 6.69437999014e-3 * pow(sin(radians(47)), 2)) AS n0
+FROM (SELECT event_id, radians(47 + value / 1e5) AS phi, radians(8 + (event_id % 100) / 1e4::DOUBLE) AS lam, value AS alt FROM events)))""")
+def east_north_up(spark, sf_dir):
+    """Metres east, north and up of a reference."""
+    e = table(spark, sf_dir, "events")
+    axes = g.east_north_up(47 + F.col("value") / 1e5, 8 + (F.col("event_id") % 100) / 1e4, F.col("value"), F.lit(47.0), F.lit(8.0), F.lit(0.0))
+    return e.select("event_id", *[F.round(c, 3).alias(n) for c, n in zip(axes, "enu", strict=True)])
+
+
+@query("""SELECT p_partkey, floor(greatest(0, least(1, (p_size * 7) / 255.0::DOUBLE)) * 255)::SMALLINT AS byte, (u >= 0 AND u < 20) AS inside, (trunc(u) >= 0 AND trunc(u) < 20) AS truncated, round(1 / greatest(u, 1e-6), 6) AS inverse
+FROM (SELECT *, p_size / 2.0::DOUBLE - 1.5 AS u FROM part)""")
+def pixel_rules(spark, sf_dir):
+    """Colours as bytes, both rules for pixels at the frame's edge, and inverse depths."""
+    u = F.col("p_size") / 2.0 - 1.5
+    frame = (F.lit(20), F.lit(20))
+    return table(spark, sf_dir, "part").select(
+        "p_partkey", g.byte_colour(g.unit_colour(F.col("p_size") * 7)).alias("byte"), g.inside(u, F.lit(1.0), *frame).alias("inside"), g.inside_truncated(u, F.lit(1.0), *frame).alias("truncated"),
+        F.round(g.inverse_depth(u), 6).alias("inverse"),
+    )
+
+
+@query("SELECT user_id, event_id FROM events")
+def united_clouds(spark, sf_dir):
+    """The union of clouds that were made apart."""
+    e = table(spark, sf_dir, "events").select("user_id", "event_id")
+    return densify.united(e.filter("event_id % 2 = 0"), e.filter("event_id % 2 = 1"))

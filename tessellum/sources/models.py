@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import io
+import os
 import struct
 from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -96,18 +98,42 @@ def points_stats(points: DataFrame) -> DataFrame:
     return points.agg(F.count(F.lit(1)).alias("n_points"), F.avg(F.when(F.col("error") > 0, F.col("error"))).alias("mean_error"))
 
 
+def _streamed(rows: DataFrame, encode, path: str, head: bytes) -> None:
+    """Rows, encoded in their tasks, written to one local file in their order: only finished bytes pass the driver, a partition at a time."""
+    with open(path, "wb") as f:
+        f.write(head)
+        for part in rows.mapInArrow(encode, "chunk binary").toLocalIterator():
+            f.write(part["chunk"])
+
+
+def _point_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        out = io.BytesIO()
+        for p in batch.to_pylist():
+            track = [n for t in p["track"] or [] for n in (t["image_id"], t["point2d_idx"])]
+            out.write(struct.pack(f"<Q3d3BdQ{len(track)}I", p["point_id"], p["x"], p["y"], p["z"], p["r"], p["g"], p["b"], p["error"], len(track) // 2, *track))
+        yield pa.RecordBatch.from_arrays([pa.array([out.getvalue()], pa.binary())], names=["chunk"])
+
+
 def write_points(points: DataFrame, path: str) -> int:
-    """points3D.bin, by id, rows streamed to one local writer; returns their number."""
+    """points3D.bin, by id; returns the number of points."""
     total = points.count()
-    with open(path, "wb") as f:
-        f.write(struct.pack("<Q", total))
-        for p in points.orderBy("point_id").toLocalIterator():
-            track = p["track"] or []
-            f.write(struct.pack("<Q3d3BdQ", p["point_id"], p["x"], p["y"], p["z"], p["r"], p["g"], p["b"], p["error"], len(track)))
-            f.write(struct.pack(f"<{2 * len(track)}I", *[n for t in track for n in (t["image_id"], t["point2d_idx"])]))
+    columns = ["point_id", "x", "y", "z", "r", "g", "b", "error", "track"]
+    _streamed(points.select(*columns).orderBy("point_id"), _point_records, path, struct.pack("<Q", total))
     return total
 
 
+def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        text = "".join(f"{x}\n" for x in batch.column("line").to_pylist())
+        yield pa.RecordBatch.from_arrays([pa.array([text.encode()], pa.binary())], names=["chunk"])
+
+
+def write_lines(lines: DataFrame, order: str, path: str, head: list[str] | None = None) -> None:
+    """A local text file of a column `line`, in an order, under some lines of heading."""
+    _streamed(lines.orderBy(order).select("line"), _lines, path, "".join(f"{x}\n" for x in head or []).encode())
+
+
 def points_text(points: DataFrame) -> DataFrame:
     """(point_id, line) of the text form."""
     track = F.array_join(F.transform("track", lambda t: F.concat_ws(" ", t["image_id"].cast("string"), t["point2d_idx"].cast("string"))), " ")
@@ -117,12 +143,39 @@ def points_text(points: DataFrame) -> DataFrame:
 
 def write_points_text(points: DataFrame, path: str) -> None:
     """points3D.txt with its three lines of comment."""
+    found = points.agg(F.count(F.lit(1)).alias("n"), F.avg(F.coalesce(F.size("track"), F.lit(0))).alias("length")).first()
     head = ["# 3D point list with one line of data per point:", "#   POINT3D_ID, X, Y, Z, R, G, B, ERROR, TRACK[] as (IMAGE_ID, POINT2D_IDX)"]
-    head.append(f"# Number of points: {points.count()}, mean track length: 0")
-    with open(path, "w") as f:
-        f.write("\n".join(head) + "\n")
-        for row in points_text(points).orderBy("point_id").toLocalIterator():
-            f.write(row["line"] + "\n")
+    write_lines(points_text(points), "point_id", path, [*head, f"# Number of points: {found['n']}, mean track length: {found['length'] or 0:g}"])
+
+
+def write_model_text(cameras: DataFrame, images: DataFrame, points: DataFrame, folder: str) -> None:
+    """cameras.txt, images.txt and points3D.txt of a folder, which is made if need be."""
+    os.makedirs(folder, exist_ok=True)
+    head = ["# Camera list with one line of data per camera:", "#   CAMERA_ID, MODEL, WIDTH, HEIGHT, PARAMS[]", f"# Number of cameras: {cameras.count()}"]
+    write_lines(cameras_text(cameras), "camera_id", f"{folder}/cameras.txt", head)
+    head = ["# Image list with two lines of data per image:", "#   IMAGE_ID, QW, QX, QY, QZ, TX, TY, TZ, CAMERA_ID, NAME", "#   POINTS2D[] as (X, Y, POINT3D_ID)", f"# Number of images: {images.count()}"]
+    write_lines(images_text(images), "image_id", f"{folder}/images.txt", head)
+    write_points_text(points, f"{folder}/points3D.txt")
+
+
+def replace_points(points: DataFrame, folder: str) -> int:
+    """Other points in a model's folder: points3D.bin, of which the first version is kept as points3D_sfm.bin.  Returns their number.
+
+    They are written beside the old file and then take its place, so points that
+    were read from it may be written over it.
+    """
+    path = f"{folder}/points3D.bin"
+    total = write_points(points, f"{path}.new")
+    if os.path.exists(path) and not os.path.exists(f"{folder}/points3D_sfm.bin"):
+        os.replace(path, f"{folder}/points3D_sfm.bin")
+    os.replace(f"{path}.new", path)
+    return total
+
+
+def read_sfm_points(spark: SparkSession, folder: str, fallback: DataFrame) -> DataFrame:
+    """The points with tracks that a densified model keeps beside its own, else the fallback."""
+    path = f"{folder}/points3D_sfm.bin"
+    return read_points(spark, path) if os.path.exists(path) else fallback
 
 
 def cameras_text(cameras: DataFrame) -> DataFrame:
@@ -143,7 +196,8 @@ _PLY_KINDS = {"char": "i1", "uchar": "u1", "short": "<i2", "ushort": "<u2", "int
 _PLY_KINDS |= {"int8": "i1", "uint8": "u1", "int16": "<i2", "uint16": "<u2", "int32": "<i4", "uint32": "<u4", "float32": "<f4", "float64": "<f8"}
 
 
-def _ply(raw: bytes) -> list[tuple]:
+def _ply(raw: bytes) -> np.ndarray:
+    """The vertices of a PLY file, a row of x, y, z each."""
     stop = raw.index(b"end_header")
     stop = raw.index(b"\n", stop) + 1
     kind, count, fields, vertex = "", 0, [], False
@@ -158,17 +212,36 @@ def _ply(raw: bytes) -> list[tuple]:
             fields.append((part[2], _PLY_KINDS[part[1]]))
     if kind == "ascii":
         rows = np.loadtxt(io.BytesIO(raw[stop:]), max_rows=count, ndmin=2) if count else np.zeros((0, len(fields)))
-        at = [[n for n, _ in fields].index(c) for c in "xyz"]
-        return [tuple(map(float, r[at])) for r in rows]
+        return rows[:, [[n for n, _ in fields].index(c) for c in "xyz"]].astype(float)
     made = np.dtype(fields if kind == "binary_little_endian" else [(n, k.replace("<", ">")) for n, k in fields])
     rows = np.frombuffer(raw, made, count, stop)
-    return list(zip(*(rows[c].astype(float).tolist() for c in "xyz"), strict=True))
+    return np.stack([rows[c].astype(float) for c in "xyz"], axis=1)
+
+
+def _clouds(batches: Iterator[pa.RecordBatch], max_range: float) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for content in batch.column("content"):
+            xyz = _ply(content.as_buffer().to_pybytes())
+            xyz = xyz[(xyz[:, 2] >= 0) & ((xyz**2).sum(axis=1) <= max_range**2)]
+            for k in range(0, len(xyz), 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in xyz[k : k + 100_000].T], names=["x", "y", "z"])
 
 
 def read_cloud(spark: SparkSession, path: str, max_range: float = 200.0) -> DataFrame:
-    """(x, y, z) of point clouds in PLY files, those with z >= 0 within max_range of the origin."""
-    cloud = _binary(spark, path, _ply, schemas.CLOUD)
-    return cloud.filter((F.col("z") >= 0) & (F.sqrt(F.col("x") * F.col("x") + F.col("y") * F.col("y") + F.col("z") * F.col("z")) <= max_range))
+    """(x, y, z) of point clouds in PLY files, those with z >= 0 within max_range of the origin.  A file is one task."""
+    files = spark.read.format("binaryFile").load(path).select("content")
+    return files.mapInArrow(partial(_clouds, max_range=max_range), schemas.CLOUD)
+
+
+_PLY_RECORD = np.dtype([(c, "<f4") for c in "xyz"] + [(c, "u1") for c in "rgb"])
+
+
+def _ply_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = np.empty(batch.num_rows, _PLY_RECORD)
+        for c in _PLY_RECORD.names:
+            rows[c] = batch.column(c).to_numpy(zero_copy_only=False)
+        yield pa.RecordBatch.from_arrays([pa.array([rows.tobytes()], pa.binary())], names=["chunk"])
 
 
 def write_ply(points: DataFrame, path: str) -> int:
@@ -176,10 +249,7 @@ def write_ply(points: DataFrame, path: str) -> int:
     total = points.count()
     lines = ["ply", "format binary_little_endian 1.0", f"element vertex {total}"]
     lines += [f"property float {c}" for c in "xyz"] + [f"property uchar {c}" for c in ("red", "green", "blue")] + ["end_header", ""]
-    with open(path, "wb") as f:
-        f.write("\n".join(lines).encode())
-        for p in points.select("x", "y", "z", "r", "g", "b").toLocalIterator():
-            f.write(struct.pack("<3f3B", p["x"], p["y"], p["z"], p["r"], p["g"], p["b"]))
+    _streamed(points.select(*"xyzrgb"), _ply_records, path, "\n".join(lines).encode())
     return total
 
 
@@ -200,3 +270,23 @@ def read_depth(spark: SparkSession, path: str) -> DataFrame:
 
 def write_depth(depth: np.ndarray, path: str) -> None:
     np.save(path, depth.astype(np.float32))
+
+
+def _raster_files(batches: Iterator[pa.RecordBatch], height: int, width: int, folder: str) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for name, v, u, depth in zip(*(batch.column(c).to_pylist() for c in ("name", "v", "u", "depth")), strict=True):
+            raster = np.zeros((height, width), np.float32)
+            raster[np.array(v, int), np.array(u, int)] = depth
+            write_depth(raster, f"{folder}/{name}.npy")
+            yield pa.RecordBatch.from_arrays([pa.array([name], pa.string())], names=["name"])
+
+
+def write_depths(depth: DataFrame, height: int, width: int, folder: str) -> int:
+    """A raster (name).npy of each image's depths (name, v, u, depth), 0 where there is none; returns how many.
+
+    A raster is one task's array; the folder must be one that all executors share.
+    """
+    os.makedirs(folder, exist_ok=True)
+    held = depth.groupBy("name").agg(*[F.collect_list(F.struct("v", "u", "depth")).alias("all")])
+    rows = held.select("name", *[F.col(f"all.{c}").alias(c) for c in ("v", "u", "depth")])
+    return rows.mapInArrow(partial(_raster_files, height=height, width=width, folder=folder), "name string").count()

@@ -12,7 +12,7 @@ from tessellum import schemas
 from tessellum.functions import geometry as g
 from tessellum.kernels import fits, images as kernels
 from tessellum.operators import clouds, joins, measures, sequences
-from tessellum.plans import densify, diagnostics, report, run
+from tessellum.plans import densify, diagnostics, export, pipeline, report, run
 from tessellum.sources import models, texts
 from tessellum.streaming import incremental
 
@@ -93,12 +93,12 @@ def test_minmax_filter_edges(spark):
 
 def test_greedy_keep_holds_and_drifts(spark):
     still = spark.createDataFrame([(1, i, 0.0) for i in range(40)], "c int, i int, v double")
-    kept = sequences.greedy_keep(still, ["c"], ["i"], "v", lambda a, b: F.abs(a - b), 1.0)
+    kept = sequences.greedy_keep(still, ["c"], ["i"], "v", sequences.absolute, 1.0)
     assert sorted(r["i"] for r in kept.collect()) == [0, 15, 30]
     drift = spark.createDataFrame([(1, i, i * 0.4) for i in range(10)], "c int, i int, v double")
-    kept = sequences.greedy_keep(drift, ["c"], ["i"], "v", lambda a, b: F.abs(a - b), 1.0)
+    kept = sequences.greedy_keep(drift, ["c"], ["i"], "v", sequences.absolute, 1.0)
     assert sorted(r["i"] for r in kept.collect()) == [0, 3, 6, 9]
-    assert sequences.greedy_keep(drift, ["c"], ["i"], "v", lambda a, b: F.abs(a - b), 0.0).count() == 10
+    assert sequences.greedy_keep(drift, ["c"], ["i"], "v", sequences.absolute, 0.0).count() == 10
 
 
 def test_nearest_match_ties_and_tolerance(spark):
@@ -200,8 +200,14 @@ def test_image_kernels():
     assert kernels.sharpness(noisy) > 100 and abs(kernels.descriptor(noisy).mean()) < 1e-9
     assert np.allclose(kernels.bilinear(np.arange(12.0).reshape(3, 4), 3, 4), np.arange(12.0).reshape(3, 4))
     assert (kernels.undistorted(noisy, [90, 90, 50, 40, 0, 0, 0, 0])[1:-1, 1:-1] == noisy[1:-1, 1:-1]).all()
-    nearest = fits.hull_visible(np.array([[0, 0, 1.0], [0, 0, 5.0], [3.0, 0, 0.1]]))
-    assert nearest.tolist() == [True, False, True]
+
+
+def test_hidden_points_are_removed(spark):
+    rows = [(0.0, 0.0, 1.0), (0.0, 0.0, 5.0), (3.0, 0.0, 0.1), (-3.0, 0.0, 0.1), (0.0, 0.0, 0.0), (0.0, 5000.0, 0.0)]
+    seen = clouds.visible_from_origin(spark.createDataFrame(rows, schemas.CLOUD), ["x", "y", "z"])
+    assert sorted(map(tuple, seen.collect())) == sorted([rows[0], rows[2], rows[3]])
+    moved = densify.scan_in_camera(spark.createDataFrame(rows[:1], schemas.CLOUD), [[0, -1, 0, 1], [1, 0, 0, 2], [0, 0, 1, 3], [0, 0, 0, 1]])
+    assert np.allclose(moved.first(), (-2, 1, -2))
 
 
 def write_images(path, layout):
@@ -402,7 +408,7 @@ def test_streams_agree_with_batch(spark, tmp_path):
     assert sorted(map(tuple, spark.table("vox").collect())) == sorted(map(tuple, batch.collect()))
     q = incremental.greedy_keep_stream(stream, "c", "i", "v", 30.0).writeStream.format("memory").queryName("kept").outputMode("append").trigger(availableNow=True).start()
     q.awaitTermination()
-    kept = sequences.greedy_keep(spark.createDataFrame(rows, "c long, i long, v double"), ["c"], ["i"], "v", lambda a, b: F.abs(a - b), 30.0)
+    kept = sequences.greedy_keep(spark.createDataFrame(rows, "c long, i long, v double"), ["c"], ["i"], "v", sequences.absolute, 30.0)
     assert sorted(r["i"] for r in spark.table("kept").collect()) == sorted(r["i"] for r in kept.collect())
 
 
@@ -414,6 +420,196 @@ def test_frames_are_decoded(spark, tmp_path):
     lines = b"".join(b"\0" + row.tobytes() for row in draw)
     png = b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", 10, 8, 8, 2, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(lines)) + chunk(b"IEND", b"")
     (tmp_path / "000001.png").write_bytes(png)
-    row = kernels.scored(kernels.frames(spark, str(tmp_path))).first()
+    (tmp_path / "000002.png").write_bytes(b"not an image")
+    rows = kernels.scored(kernels.frames(spark, str(tmp_path))).orderBy("name").collect()
+    assert (rows[1]["name"], rows[1]["sharpness"], rows[1]["descriptor"]) == ("000002.png", 0.0, None)
+    assert kernels.png(draw[..., ::-1])[8:] == png[8:]
+    row = rows[0]
     assert row["name"] == "000001.png" and len(row["descriptor"]) == 4096
     assert row["sharpness"] == pytest.approx(kernels.sharpness(draw[..., ::-1]))
+
+
+def write_model(folder, cameras, images, points):
+    """cameras.bin, images.bin and points3D.bin by plain packing."""
+    folder.mkdir(parents=True)
+    with open(folder / "cameras.bin", "wb") as f:
+        rows = cameras.collect()
+        f.write(struct.pack("<Q", len(rows)) + b"".join(struct.pack("<IIQQ4d", c["camera_id"], 1, c["width"], c["height"], *c["params"]) for c in rows))
+    with open(folder / "images.bin", "wb") as f:
+        rows = images.collect()
+        f.write(struct.pack("<Q", len(rows)))
+        for r in rows:
+            f.write(struct.pack("<I7dI", r["image_id"], *r["qvec"], *r["tvec"], r["camera_id"]) + r["name"].encode() + b"\0" + struct.pack("<Q", len(r["points2d"])))
+            f.write(b"".join(struct.pack("<2dq", *p) for p in r["points2d"]))
+    models.write_points(points, str(folder / "points3D.bin"))
+
+
+@pytest.fixture
+def tools(spark, model):
+    """Frames, a mapper that fails globally, raw disparities and no video."""
+    cameras, images, points, positions, _ = model
+    names = [r["name"] for r in images.select("name").orderBy("name").collect()]
+    draw, called = np.random.default_rng(3), []
+
+    def extract(folder, options):
+        (folder / "images").mkdir()
+        for i, name in enumerate([*names, *(f"{len(names) + k + 1:06d}.png" for k in range(3))]):
+            image = np.full((240, 320), 90, np.uint8) if i == len(names) else draw.integers(0, 255, (240, 320)).astype(np.uint8)
+            if i == len(names) + 1:
+                image = last
+            last = last if i == len(names) else image
+            (folder / "images" / name).write_bytes(kernels.png(image))
+
+    def reconstruct(folder, mapper):
+        called.append(mapper)
+        if (folder / "sparse").exists():
+            import shutil
+
+            shutil.rmtree(folder / "sparse")
+        write_model(folder / "sparse" / "0", cameras, images.limit(5) if mapper == "global" else images, points)
+
+    def disparities(images):
+        at = densify.anchors(images, cameras, points)
+        raw = at.groupBy(F.regexp_replace("name", r"\.png$", "").alias("name"), "v", "u").agg(F.min("z").alias("z"))
+        return raw.select("name", "v", "u", ((1 / F.col("z") - 0.05) / 0.5).cast("float").alias("depth"))
+
+    return pipeline.Tools(extract=extract, reconstruct=reconstruct, disparities=disparities), called
+
+
+def test_a_whole_run(spark, model, tools, tmp_path):
+    given, called = tools
+    folder = tmp_path / "capture"
+    options = pipeline.Options(max_frames=26, blur_threshold=0.01, dedup_threshold=0.01, voxel=0.02, min_points=300, neighbours=2, align_up=False)
+    code, found = pipeline.execute(spark, str(folder), options, given)
+    assert called == ["global", "incremental"]
+    assert (found.n_extracted, found.n_after_blur, found.n_after_dedup, found.n_registered, found.n_sparse) == (26, 25, 24, 24, 600)
+    assert found.densification == "too_few" and code == 0
+
+
+def test_a_run_densifies_reports_and_resumes(spark, model, tools, tmp_path, monkeypatch):
+    given, called = tools
+    folder = tmp_path / "capture"
+    branch = run.densify_branch
+    monkeypatch.setattr(run, "densify_branch", lambda s: branch(run.DensifyState(s.has_cloud, s.wanted, s.n_points * 10, s.cached_depth, s.n_images, s.has_lidar)))
+    options = pipeline.Options(blur_threshold=0.01, dedup_threshold=0.01, voxel=0.02, min_points=300, skip_sfm=True)
+    code, found = pipeline.execute(spark, str(folder), options, given)
+    assert code == 0 and found.densification == "images" and 300 < found.n_dense
+    made = folder / "capture_dataset"
+    assert (folder / "images").is_symlink() and len(list((made / "images").iterdir())) == 25
+    lines = (made / "sparse" / "0" / "points3D.txt").read_text().splitlines()
+    assert len(lines) == 3 + found.n_dense
+    again = models.read_points(spark, str(folder / "sparse" / "0" / "points3D.bin"))
+    assert again.count() == found.n_dense and models.read_sfm_points(spark, str(folder / "sparse" / "0"), again).count() == 600
+    assert models.read_cloud(spark, str(folder / "points3D.ply"), 1e9).count() <= found.n_dense
+    images_txt = (made / "sparse" / "0" / "images.txt").read_text().splitlines()
+    assert len(images_txt) == 4 + 2 * 24 and images_txt[4].split()[-1] == "000001.png"
+    assert all((folder / x).exists() for x in ("report.html", "config.json", "coverage_report.txt", "2dgs_suggested_params.txt", "pipeline.log", "pairs.txt"))
+    page = (folder / "report.html").read_text()
+    assert page.count("data:image/png") == 9 + 3 and "n_dense" in page
+    # resumed: nothing is extracted, mapped or densified again, and the figures are those of before
+    code, second = pipeline.execute(spark, str(folder), options, given)
+    assert code == 0 and second.densification == "reuse" and len(called) == 2
+    assert (second.n_extracted, second.n_after_dedup) == (found.n_extracted, found.n_after_dedup)
+    (folder / "points3D.ply").unlink()
+    code, third = pipeline.execute(spark, str(folder), options, given)
+    assert third.densification == "cached" and third.n_dense == found.n_dense
+    n, size = export.cleaned(spark, folder)
+    assert n >= 5 and size > 0 and (folder / "depth").exists()
+    export.cleaned(spark, folder, delete=True)
+    assert {x.name for x in folder.iterdir()} <= {"capture_dataset", *export.KEPT}
+
+
+def test_an_invalid_run_reports_and_leaves_no_dataset(spark, tools, tmp_path):
+    given, _ = tools
+    folder = tmp_path / "capture"
+    code, _ = pipeline.execute(spark, str(folder), pipeline.Options(min_points=10**6, densify=False), given)
+    assert code == 1 and (folder / "report.html").exists() and not (folder / "capture_dataset").exists()
+
+
+def test_frames_of_a_known_calibration(spark, tmp_path):
+    params = [200.0, 200.0, 160.0, 120.0, -0.2, 0.05, 0.0, 0.0]
+    pinhole = kernels.best_pinhole(params, 320, 240)
+    flat = np.full((240, 320), 200, np.uint8)
+    made = kernels.undistorted(flat, params, pinhole)
+    assert (made == 200).all()  # the whole new frame is seen
+    doubled, even = kernels.rescaled(params, (320, 240), (640, 480))
+    assert doubled[:4] == [400, 400, 320, 240] and doubled[4:] == params[4:] and even and not kernels.rescaled(params, (320, 240), (640, 240))[1]
+    (tmp_path / "images").mkdir()
+    (tmp_path / "images" / "000001.png").write_bytes(kernels.png(flat))
+    frames = kernels.frames(spark, str(tmp_path / "images"))
+    new, k = kernels.undistorted_frames(frames, params, (320, 240))
+    assert np.allclose(k, pinhole) and kernels.write_frames(new, str(tmp_path / "images")) == 1
+    assert kernels.scored(kernels.frames(spark, str(tmp_path / "images"))).first()["sharpness"] == 0
+
+
+def test_depth_files_round_trip(spark, tmp_path):
+    rows = [("a", 0, 1, 1.5), ("a", 2, 0, 2.5), ("b", 1, 1, 3.0)]
+    assert models.write_depths(spark.createDataFrame(rows, schemas.DEPTH), 3, 2, str(tmp_path)) == 2
+    assert sorted(map(tuple, models.read_depth(spark, str(tmp_path)).collect())) == rows
+
+
+def test_a_shared_folder_is_needed_on_a_cluster():
+    from types import SimpleNamespace
+
+    from tessellum import storage
+
+    conf = SimpleNamespace(get=lambda *_: None, set=lambda *_: None)
+
+    def session(master):
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master, applicationId="x", getConf=lambda: conf))
+
+    for master in ("local-cluster[2,1,1024]", "yarn", "spark://host:7077", "k8s://https://host"):
+        with pytest.raises(RuntimeError):
+            storage.shared_folder(session(master))
+    assert all(storage.shared_folder(session(m)).startswith("file://") for m in ("local", "local[4]", "local[*]"))
+
+
+def test_nearest_neighbours_by_brute_force(spark):
+    draw = np.random.default_rng(5)
+    v = np.round(draw.normal(size=(130, 4)), 1)
+    v[40:60] = v[3]  # ties
+    rows = [(f"k{i:03d}", v[i].tolist()) for i in range(130)]
+    df = spark.createDataFrame([*rows, ("none", None), (None, [1.0, 0.0, 0.0, 0.0])], "id string, v array<double>")
+    score = np.round(v @ v.T, 6)
+    want = set()
+    for i in range(130):
+        best = sorted((-score[i, j], f"k{j:03d}") for j in range(130) if j != i)[:7]
+        want |= {(f"k{i:03d}", k, -s, r + 1) for r, (s, k) in enumerate(best)}
+    for size in (2048, 20):
+        got = {(r["a"], r["b"], r["similarity"], r["rank"]) for r in joins.nearest_neighbours(df, "id", "v", 7, rows=size).collect()}
+        assert got == want
+    assert joins.nearest_neighbours(df.limit(0), "id", "v").count() == 0 and joins.nearest_neighbours(df.filter("id = 'k001'"), "id", "v").count() == 0
+
+
+def test_descriptors_are_kept_alike_in_batch_and_stream(spark, tmp_path):
+    draw = np.random.default_rng(6)
+    rows = [(i % 2, i, [float(x) for x in np.cumsum(draw.normal(0, 30, 4))]) for i in range(60)]
+    df = spark.createDataFrame(rows, "c long, i long, d array<double>")
+    kept = sequences.greedy_keep(df, ["c"], ["i"], "d", sequences.mean_difference, 0.1, 5, ["i"])
+    want, state = [], {}
+    for c, i, d in rows:
+        last, since = state.get(c, (None, 0))
+        if last is None or since + 1 >= 5 or np.abs(np.array(d) - last).mean() / 255 >= 0.1:
+            want.append((c, i))
+            state[c] = (np.array(d), 0)
+        else:
+            state[c] = (last, since + 1)
+    assert sorted(map(tuple, kept.collect())) == sorted(want) and len(want) < 60
+    for k in range(3):
+        df.filter(f"i >= {k * 20} AND i < {k * 20 + 20}").coalesce(1).write.parquet(f"{tmp_path}/in/{k}")
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in/*")
+    q = incremental.greedy_keep_stream(stream, "c", "i", "d", 0.1, 5).writeStream.format("memory").queryName("described").outputMode("append").trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert sorted((r["c"], r["i"]) for r in spark.table("described").collect()) == sorted(want)
+
+
+def test_batches_and_caps(spark):
+    df = spark.createDataFrame([(f"{i:03d}",) for i in range(120)], "name string")
+    sizes = {r["batch"]: r["count"] for r in sequences.batches(df, ["name"], 50).groupBy("batch").count().collect()}
+    assert sizes == {0: 50, 1: 50, 2: 20}
+    assert [r["name"] for r in sequences.first_rows(df, ["name"], 2).collect()] == ["000", "001"] and sequences.first_rows(df, ["name"], None).count() == 120
+
+
+def test_pairs_with_tabs(spark, tmp_path):
+    (tmp_path / "pairs.txt").write_text("\ta\tb \nc d e\n  f   g\n")
+    assert sorted(map(tuple, texts.read_pairs(spark, str(tmp_path / "pairs.txt")).collect())) == [("a", "b"), ("f", "g")]
