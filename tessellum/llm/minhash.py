@@ -13,6 +13,7 @@ document of a list is its centre, and each document first goes with the centre
 that it collides with most.  The links that are confirmed are contracted into
 components, and only members of lists that still hold several components are
 compared again, in blocks of bounded size, one component with another.  Exact copies are one set from the start.
+Keys with a large share of the rows, a class of copies or a list, are joined by broadcast of their few rows.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 
 from tessellum.llm import arrowtext as at
 from tessellum.llm.components import connected_components
+from tessellum.llm.skew import join_counted
 from tessellum.llm.storage import materialise
 
 U64 = np.uint64
@@ -44,7 +46,8 @@ class NearDuplicates:
     order_sample: different sets, taken by hash, whose frequent pairs set the
         order of all pairs.  The order changes the amount of work, never the
         result.
-    block: most members of a list that are compared with others at once.
+    block, block_bytes: about how many members of a list, and bytes of their
+        sets, are compared with others at once; a longer set stands alone.
     long: members of lists longer than this bring their full sets along.
     broadcast_ids: most ids that are broadcast to pick texts; above it, a join.
     """
@@ -55,6 +58,7 @@ class NearDuplicates:
     threshold: int = 38
     order_sample: int = 8192
     block: int = 512
+    block_bytes: int = 8 << 20
     long: int = 64
     broadcast_ids: int = 1_000_000
 
@@ -101,6 +105,8 @@ def _coefficients(k: int) -> tuple[np.ndarray, np.ndarray]:
     return seed[:k] | U64(1), seed[k:]
 
 
+#: Rows that can be linked.
+USABLE = "doc_id IS NOT NULL AND n_shingles > 0"
 SIGNED = "doc_id bigint, n_shingles bigint, fp1 bigint, fp2 bigint, signature binary"
 
 
@@ -224,43 +230,83 @@ def confirmed(pairs: DataFrame, docs: DataFrame, p: NearDuplicates) -> DataFrame
     return pairs.join(left, "a").join(right, "b").select("a", "b", "ha", "hb").mapInArrow(partial(_confirm, similarity=p.similarity), "a bigint, b bigint")
 
 
-def _linked(own: np.ndarray, others: list[np.ndarray], similarity: int) -> np.ndarray:
-    """For each of the other shingle sets, whether it is similar enough to the own one."""
-    sizes = np.array([len(x) for x in others], np.int64)
-    flat = np.concatenate(others)
-    there = own[np.minimum(np.searchsorted(own, flat), len(own) - 1)] == flat
-    common = np.add.reduceat(there.astype(np.int64), np.cumsum(sizes) - sizes)
-    return 100 * common >= similarity * (len(own) + sizes - common)
+def _common(one: list[np.ndarray], two: list[np.ndarray], cells: int = 1 << 22) -> np.ndarray:
+    """The sizes of the intersections of all sets of one with all of two.
+
+    A product of incidence matrices over the elements that both sides hold, so
+    many at a time that a matrix has about `cells` cells.
+    """
+    flat1, flat2 = np.concatenate(one), np.concatenate(two)
+    vocabulary = np.intersect1d(flat1, flat2)
+    total = np.zeros((len(one), len(two)), np.float32)
+    if not len(vocabulary):
+        return total.astype(np.int64)
+    sides = []
+    for sets, flat in ((one, flat1), (two, flat2)):
+        at_ = np.minimum(np.searchsorted(vocabulary, flat), len(vocabulary) - 1)
+        there = vocabulary[at_] == flat
+        row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])[there]
+        order = np.argsort(at_[there], kind="stable")
+        sides.append((at_[there][order], row[order]))
+    step = max(1, cells // max(len(one), len(two)))
+    for low in range(0, len(vocabulary), step):
+        made = []
+        for (word, row), sets in zip(sides, (one, two), strict=True):
+            own = slice(*np.searchsorted(word, (low, low + step)))
+            matrix = np.zeros((len(sets), min(step, len(vocabulary) - low)), np.float32)
+            matrix[row[own], word[own] - low] = 1
+            made.append(matrix)
+        total += made[0] @ made[1].T
+    return np.rint(total).astype(np.int64)
+
+
+def _met(pair: int, one: list[dict], two: list[dict], p: NearDuplicates, common: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Of two chunks of a list, which members of different components agree in enough coordinates.
+
+    A pair meets in every list that it shares and is given out by the first of
+    them in the common order.
+    """
+    s1, s2 = (np.frombuffer(b"".join(m["signature"] for m in x), np.uint32).reshape(-1, p.coordinates) for x in (one, two))
+    c1, c2 = (np.array([m["component"] for m in x], np.int64) for x in (one, two))
+    place = np.argsort(_ordered(_pairs_of(s1), common, rank), axis=1)
+    early = place < place[:, pair >> 32][:, None]
+    agree, seen = np.zeros((len(s1), len(s2)), np.uint8), c1[:, None] == c2
+    for k in range(p.coordinates):
+        same = s1[:, k][:, None] == s2[:, k]
+        agree += same
+        seen |= same & early[:, k][:, None]
+    return (agree >= p.threshold) & ~seen
 
 
 def _compare(batches: Iterator[pa.RecordBatch], p: NearDuplicates, common: np.ndarray, rank: np.ndarray, full: bool) -> Iterator[pa.RecordBatch]:
     """Of each task's two chunks of a list, the pairs of different components whose signatures agree enough.
 
-    A pair meets in every list that it shares and is given out by the first of
-    them in the common order.  full: the members bring their shingle sets; a pair
-    is given out only if it is linked and joins two components that nothing in
-    the two chunks has joined yet.
+    full: the members bring their shingle sets; a pair is given out only if it is
+    linked and joins two components that nothing in the two chunks has joined yet.
     """
     for batch in at.released(batches):
         out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for pair, one, two in zip(*(batch.column(c).to_pylist() for c in ("pair", "one", "two")), strict=True):
-            s1, s2 = (np.frombuffer(b"".join(m["signature"] for m in x), np.uint32).reshape(-1, p.coordinates) for x in (one, two))
+        for row in range(batch.num_rows):
+            pair, one, two = (batch.column(c)[row].as_py() for c in ("pair", "one", "two"))
             r1, r2 = (np.array([m["rep"] for m in x], np.int64) for x in (one, two))
-            c1, c2 = (np.array([m["component"] for m in x], np.int64) for x in (one, two))
-            h2 = [np.frombuffer(m["held"], U64) for m in two] if full else []
-            order, own = _ordered(_pairs_of(s1), common, rank), pair >> 32
-            for i in range(len(r1)):
-                other = np.flatnonzero(c2 != c1[i])
-                before = order[i, : int(np.flatnonzero(order[i] == own)[0])]
-                other = other[~(s2[np.ix_(other, before)] == s1[i, before]).any(axis=1)]
-                good = other[(s2[other] == s1[i]).sum(axis=1) >= p.threshold]
-                if full and len(good):
-                    good = good[_linked(np.frombuffer(one[i]["held"], U64), [h2[k] for k in good], p.similarity)]
-                    good = good[np.unique(c2[good], return_index=True)[1]]
-                    for joined in c2[good]:
+            good = _met(pair, one, two, p, common, rank)
+            if full and good.any():
+                left, right = np.flatnonzero(good.any(axis=1)), np.flatnonzero(good.any(axis=0))
+                h1, h2 = ([np.frombuffer(x[k]["held"], U64) for k in which.tolist()] for x, which in ((one, left), (two, right)))
+                both = _common(h1, h2)
+                sizes = np.array([len(x) for x in h1])[:, None] + np.array([len(x) for x in h2])
+                linked = good[np.ix_(left, right)] & (100 * both >= p.similarity * (sizes - both))
+                c1, c2 = (np.array([x[k]["component"] for k in which.tolist()], np.int64) for x, which in ((one, left), (two, right)))
+                r1, r2, good = r1[left], r2[right], np.zeros_like(linked)
+                for i in np.flatnonzero(linked.any(axis=1)):
+                    other = np.flatnonzero(linked[i] & (c2 != c1[i]))
+                    other = other[np.unique(c2[other], return_index=True)[1]]
+                    good[i, other] = True
+                    for joined in c2[other]:
                         c2[c2 == joined], c1[c1 == joined] = c1[i], c1[i]
-                out_a.append(np.minimum(r1[i], r2[good]))
-                out_b.append(np.maximum(r1[i], r2[good]))
+            i, k = np.nonzero(good)
+            out_a.append(np.minimum(r1[i], r2[k]))
+            out_b.append(np.maximum(r1[i], r2[k]))
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))], names=["a", "b"])
 
 
@@ -273,23 +319,28 @@ def _remaining(postings: DataFrame, reps: DataFrame, labels: DataFrame, docs: Da
     long ones bring their sets, so that a list of many similar texts that aren't
     linked gives nothing out.
     """
-    known = postings.join(labels, "rep", "left").select("pair", "rep", F.coalesce("component", "rep").alias("component"))
+    known = materialise(postings.join(labels, "rep", "left").select("pair", "rep", F.coalesce("component", "rep").alias("component")), "known")
     sizes = known.groupBy("pair", "component").agg(F.count(F.lit(1)).alias("n"))
     lists = (
         sizes.groupBy("pair")
         .agg(F.count(F.lit(1)).alias("parts"), F.sum("n").alias("total"), F.max_by("component", F.struct("n", "component")).alias("main"))
         .filter("parts > 1")
-        .select("pair", "main", (F.floor((F.col("total") - 1) / p.block) + 1).alias("chunks"), (F.col("total") > p.long).alias("long"))
+        .select("pair", "main", "total")
     )
     lists = materialise(lists, "lists")
-    member = materialise(known.join(lists, "pair").join(reps.select("rep", "signature"), "rep"), "members")
-    chunk = F.pmod(F.xxhash64("rep"), F.col("chunks"))
+    member = join_counted(known, lists.withColumn("n", F.col("total")), ["pair"], "n", known.count())
+    member = materialise(member.join(reps.select("rep", "signature", "n_shingles"), "rep"), "members")
+    weight = member.groupBy("pair").agg(F.count(F.lit(1)).alias("n"), (8 * F.sum("n_shingles")).alias("bytes"))
+    chunks = F.greatest(F.ceil(F.col("n") / p.block), F.ceil(F.col("bytes") / p.block_bytes))
+    weight = materialise(weight.select("pair", "n", chunks.alias("chunks"), ((F.col("n") > p.long)).alias("long")), "weights")
+    member = join_counted(member, weight, ["pair"], "n", member.count()).withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")))
 
     def met(member: DataFrame, item: Column, full: bool) -> DataFrame:
-        every = member.groupBy("pair", chunk.alias("chunk")).agg(F.collect_list(item).alias("two"))
-        outside = member.filter("component != main").groupBy("pair", chunk.alias("own")).agg(F.collect_list(item).alias("one"))
+        every = member.groupBy("pair", "chunk").agg(F.collect_list(item).alias("two"))
+        outside = member.filter("component != main").groupBy("pair", F.col("chunk").alias("own"), "chunks").agg(F.collect_list(item).alias("one"))
+        outside = outside.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)))
         compare = partial(_compare, p=p, common=common, rank=rank, full=full)
-        return outside.join(every, "pair").select("pair", "one", "two").mapInArrow(compare, "a bigint, b bigint").distinct()
+        return outside.join(every, ["pair", "chunk"]).select("pair", "one", "two").mapInArrow(compare, "a bigint, b bigint").distinct()
 
     short = confirmed(met(member.filter("NOT long"), F.struct("rep", "component", "signature"), False), docs, p)
     crowded = member.filter("long")
@@ -297,25 +348,29 @@ def _remaining(postings: DataFrame, reps: DataFrame, labels: DataFrame, docs: Da
     return short.unionByName(met(crowded.join(held, "rep"), F.struct("rep", "component", "signature", "held"), True))
 
 
-def similar_links(docs: DataFrame, p: NearDuplicates = NearDuplicates()) -> tuple[DataFrame, DataFrame]:
-    """(signed, links): signatures of all documents and a set of confirmed links between
-    class representatives whose components are those of all links."""
-    signed = materialise(signatures(docs, p), "signed")
-    usable = signed.filter("doc_id IS NOT NULL AND n_shingles > 0")
-    reps = materialise(
-        usable.groupBy("fp1", "fp2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.min_by("signature", "doc_id").alias("signature")), "reps"
+def _classes(usable: DataFrame) -> DataFrame:
+    """(fp1, fp2, n_shingles, n, rep, signature): the classes of equal sets, their sizes and least documents."""
+    return usable.groupBy("fp1", "fp2", "n_shingles").agg(
+        F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("rep"), F.min_by("signature", "doc_id").alias("signature")
     )
+
+
+def similar_links(docs: DataFrame, p: NearDuplicates = NearDuplicates()) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(signed, classes, links): signatures of all documents, the classes of equal sets, and a set of
+    confirmed links between their least documents whose components are those of all links."""
+    signed = materialise(signatures(docs, p), "signed")
+    reps = materialise(_classes(signed.filter(USABLE)), "reps")
     common, rank = _frequent_pairs(reps, p)
     posted = materialise(reps.select("rep", "signature").mapInArrow(partial(_post, p=p, common=common, rank=rank), "pair bigint, rep bigint"), "posted")
-    shared = posted.groupBy("pair").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("centre")).filter("n > 1")
-    postings = materialise(posted.join(shared, "pair").select("pair", "rep", "centre"), "postings")
+    shared = materialise(posted.groupBy("pair").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("centre")).filter("n > 1"), "shared")
+    postings = materialise(join_counted(posted, shared, ["pair"], "n", posted.count()), "postings")
     # each document goes with the centre it collides with most
     collisions = postings.filter("rep != centre").groupBy("rep", "centre").agg(F.count(F.lit(1)).alias("n"))
     stars = collisions.groupBy("rep").agg(F.max_by("centre", F.struct("n", -F.col("centre"))).alias("a")).select("a", F.col("rep").alias("b"))
     links = materialise(confirmed(_above_threshold(stars, reps, p), docs, p), "confirmed")
     labels = materialise(connected_components(links).withColumnRenamed("node", "rep"), "labels")
     more = materialise(_remaining(postings, reps, labels, docs, p, common, rank), "confirmed")
-    return signed, links.unionByName(more)
+    return signed, reps, links.unionByName(more)
 
 
 def near_duplicates(docs: DataFrame, p: NearDuplicates = NearDuplicates()) -> DataFrame:
@@ -330,10 +385,13 @@ def near_duplicates(docs: DataFrame, p: NearDuplicates = NearDuplicates()) -> Da
     one document for linking.  Other columns are ignored; an empty table gives
     an empty one.
     """
-    signed, links = similar_links(docs, p)
+    signed, reps, links = similar_links(docs, p)
     components = materialise(connected_components(links), "components")
-    classes = signed.filter("doc_id IS NOT NULL AND n_shingles > 0").groupBy("fp1", "fp2", "n_shingles").agg(F.min("doc_id").alias("node"))
-    classes = classes.join(components, "node", "left").select("fp1", "fp2", "n_shingles", F.coalesce("component", "node").alias("found"))
-    marked = signed.select("doc_id", "n_shingles", "fp1", "fp2").join(classes, ["fp1", "fp2", "n_shingles"], "left")
-    component = F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.col("found")).otherwise(F.col("doc_id"))
-    return marked.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    same = ["fp1", "fp2", "n_shingles"]
+    found = F.coalesce("component", "rep").alias("component_id")
+    classes = materialise(reps.join(components.withColumnRenamed("node", "rep"), "rep", "left").select(*same, "n", found), "classes")
+    rows = signed.select("doc_id", *same)
+    linked = join_counted(rows.filter(USABLE), classes, same, "n", rows.count()).select("doc_id", "n_shingles", "component_id")
+    alone = rows.filter(f"NOT ({USABLE})").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
+    return linked.unionByName(alone).select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
