@@ -13,9 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: White space that parts words: space and the controls 09-0D.
-GAP = r"[\x20\x09-\x0D]+"
+GAPS = "\x20\x09\x0a\x0b\x0c\x0d"
+#: Marks at the end of a word that don't belong to it.
+STOPS = ".,;:!?"
 SYMBOLS = "#*$%&|<>"
-WINDOW = 8
+WINDOW = 8  # a power of two
 
 # Frequent function words of the languages the rules are meant for.
 STOP_WORDS = {
@@ -75,21 +77,36 @@ def _repeat_words(windows: Column, n_words: Column) -> Column:
     return F.when(n_words < WINDOW, F.lit(0)).otherwise(covered).cast("bigint")
 
 
+def _is_bullet(line: Column) -> Column:
+    """Whether a line begins, after spaces and tabs, with a bullet and a space."""
+    return F.substr(F.ltrim(line, F.lit(" \t")), F.lit(1), F.lit(2)).isin("- ", "* ", "• ")
+
+
+def _is_cut(line: Column) -> Column:
+    """Whether a line ends in an ellipsis, white space aside."""
+    end = F.rtrim(line, F.lit(GAPS))
+    return end.endswith("...") | end.endswith("…")
+
+
+def _both(x: Column, y: Column) -> Column:
+    return F.xxhash64(x, y)
+
+
 def measures(docs: DataFrame) -> DataFrame:
     """(doc_id and all measures) of each row of docs(doc_id, text, ...), by built-in functions."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     split = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("t")).select(
         "doc_id",
         "t",
-        F.filter(F.split("t", GAP), lambda w: w != "").alias("words"),
-        F.filter(F.split("t", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("lines"),
-    )
-    # a window's hash is that of its words' hashes, taken from the array beside itself eight times, shifted
-    numbered = split.select("*", F.size("words").alias("n"), F.transform("words", lambda w: F.xxhash64(w)).alias("word_hashes"))
-    shifted = F.arrays_zip(*[F.slice("word_hashes", k + 1, F.greatest(F.col("n") - (WINDOW - 1), F.lit(0))).alias(f"w{k}") for k in range(WINDOW)])
-    hashed = numbered.select(
-        "doc_id", "t", "words", "lines", "n", F.transform(shifted, lambda x: F.xxhash64(*[x[f"w{k}"] for k in range(WINDOW)])).alias("hashes")
+        F.filter(F.split(F.translate("t", GAPS, " " * len(GAPS)), " "), lambda w: w != "").alias("words"),
+        F.filter(F.split("t", "\n"), lambda x: F.btrim(x, F.lit(GAPS)) != "").alias("lines"),
     )
+    # hashes of two, four and eight words, each of two neighbours of the size before
+    pairs = split.select("*", F.size("words").alias("n"), F.transform("words", lambda w: F.xxhash64(w)).alias("h1"))
+    for k in (1, 2, 4):
+        pairs = pairs.withColumn(f"h{2 * k}", F.zip_with(f"h{k}", F.slice(f"h{k}", k + 1, F.greatest(F.col("n"), F.lit(1))), _both))
+    windows = F.slice(f"h{WINDOW}", 1, F.greatest(F.col("n") - (WINDOW - 1), F.lit(0)))
+    hashed = pairs.select("doc_id", "t", "words", "lines", "n", windows.alias("hashes"))
     sorted_ = hashed.select(
         "*",
         # most texts repeat no window: only the others are sorted
@@ -101,21 +118,21 @@ def measures(docs: DataFrame) -> DataFrame:
         .alias("windows"),
     )
     stop_words = sorted({w for x in STOP_WORDS.values() for w in x})
-    is_stop = lambda w: F.lower(F.regexp_replace(w, r"[.,;:!?]+$", "")).isin(stop_words)
+    is_stop = lambda w: F.lower(F.rtrim(w, F.lit(STOPS))).isin(stop_words)
     # The condition always holds.  Being no constant, it keeps filters on measures from being moved below this
     # projection, where they would compute every array again for each mention.
     n_words = F.when(F.rand(0) >= 0, F.col("n").cast("bigint"))
     return sorted_.select(
         "doc_id",
         n_words.alias("n_words"),
-        F.length(F.regexp_replace("t", GAP, "")).cast("bigint").alias("word_chars"),
+        F.length(F.translate("t", GAPS, "")).cast("bigint").alias("word_chars"),
         (F.length("t") - F.length(F.translate("t", SYMBOLS, ""))).cast("bigint").alias("n_symbols"),
         F.size("lines").cast("bigint").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
         _repeat_words(F.col("windows"), F.col("n")).alias("n_repeat_words"),
         F.size(F.filter("words", is_stop)).cast("bigint").alias("n_stop_words"),
-        F.size(F.filter("lines", lambda x: x.rlike(r"^[\x20\x09]*[-*•]\x20"))).cast("bigint").alias("n_bullet_lines"),
-        F.size(F.filter("lines", lambda x: x.rlike(r"(\.\.\.|…)[\x20\x09\x0D]*$"))).cast("bigint").alias("n_ellipsis_lines"),
+        F.size(F.filter("lines", _is_bullet)).cast("bigint").alias("n_bullet_lines"),
+        F.size(F.filter("lines", _is_cut)).cast("bigint").alias("n_ellipsis_lines"),
     )
 
 
