@@ -38,7 +38,6 @@ TEMPLATES: list[tuple[str, str]] = [
     ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
     ("LGPL-3.0", "This library is licensed under the GNU Lesser General Public License, version 3."),
     ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."),
     ("BSD-3-Clause", "Licensed under the BSD 3-Clause License."),
     ("BSD-2-Clause", "Licensed under the BSD 2-Clause License."),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
@@ -63,12 +62,78 @@ TEMPLATES: list[tuple[str, str]] = [
     ("LGPL-3.0", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
     ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
 ]
+# Whole texts of the short licenses; of the long ones the lines of their title.
+_AS_IS = (
+    'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. '
+    "IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+)
+_BSD_BEGIN = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
+    "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+    "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. "
+)
+_BSD_NAMES = "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. "
+_BSD_END = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. '
+    "IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) "
+    "HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+_ISC_END = (
+    ' THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. '
+    "IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, "
+    "ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
+)
+_APACHE_END = (
+    ' Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. '
+    "See the License for the specific language governing permissions and limitations under the License."
+)
+_ZLIB = (
+    "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. "
+    "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: "
+    "The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required. "
+    "Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. This notice may not be removed or altered from any source distribution."
+)
+_LONGEST = {name: max((t for n, t in TEMPLATES if n == name), key=len) for name in ("MIT", "ISC", "Apache-2.0")}
+TEMPLATES += [
+    ("MIT", f"{_LONGEST['MIT']} {_AS_IS}"),
+    ("BSD-3-Clause", _BSD_BEGIN + _BSD_NAMES + _BSD_END),
+    ("BSD-2-Clause", _BSD_BEGIN + _BSD_END),
+    ("ISC", _LONGEST["ISC"] + _ISC_END),
+    ("Apache-2.0", _LONGEST["Apache-2.0"] + _APACHE_END),
+    ("Zlib", _ZLIB),
+]
+TITLES: list[tuple[str, str]] = [
+    ("MIT", "MIT License"),
+    ("MIT", "The MIT License"),
+    ("MIT", "The MIT License (MIT)"),
+    ("ISC", "ISC License"),
+    ("Zlib", "zlib License"),
+    ("BSD-2-Clause", "BSD 2-Clause License"),
+    ("BSD-3-Clause", "BSD 3-Clause License"),
+    ("Unlicense", "The Unlicense"),
+    ("Apache-2.0", "Apache License, Version 2.0"),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004"),
+    ("GPL-2.0", "GNU General Public License Version 2, June 1991"),
+    ("GPL-3.0", "GNU General Public License Version 3, 29 June 2007"),
+    ("LGPL-2.1", "GNU Lesser General Public License Version 2.1, February 1999"),
+    ("LGPL-3.0", "GNU Lesser General Public License Version 3, 29 June 2007"),
+    ("AGPL-3.0", "GNU Affero General Public License Version 3, 19 November 2007"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    ("CC-BY-4.0", "Creative Commons Attribution 4.0 International Public License"),
+    ("CC-BY-SA-4.0", "Creative Commons Attribution-ShareAlike 4.0 International Public License"),
+    ("CC0-1.0", "Creative Commons Legal Code CC0 1.0 Universal"),
+]
+N_NOTICES = len(TEMPLATES)
+TEMPLATES += TITLES
 TEMPLATES += [(name, f"SPDX-License-Identifier: {name}") for name in dict.fromkeys(name for name, _ in TEMPLATES)]
 
 # Words that, added to a template's, name another license.
 OTHER = {"lesser", "affero", "sa", "nc", "nd", "sharealike", "noncommercial", "noderivatives", "noderivs", "clear", "modified"}
 
-HINT = re.compile(rb"licen[sc]e|copyright|permission is|permission to use|redistribut|free software|public domain|creative commons|spdx", re.IGNORECASE)
+HINT = re.compile(rb"licen[sc]e|copyright|permission is|permission to use|redistribut|this software is|free software|public domain|creative commons|spdx", re.IGNORECASE)
+#: Beginnings of whole texts, and about how many bytes the longest has when it is wrapped as a comment.
+BEGINS = re.compile(rb"permission is|permission to use|redistribution and use|this software is|free software|license\"\);", re.IGNORECASE)
+LONGEST = 2000
 TEXT_HINT = re.compile(HINT.pattern.decode(), re.IGNORECASE)
 WORD = re.compile(r"[^\W_]+")
 #: A tag: one expression of identifiers on one line.
@@ -168,10 +233,18 @@ def located(block: str, words: list[tuple[str, int, int]], low: int, high: int,
             yield Notice(start, end, template, saved, tuple(lacking), tuple(sorted(between)), frozenset(matched))
 
 
+def _alone(block: str, start: int, end: int) -> bool:
+    """Whether nothing but marks of comments and headings stands beside a span on its lines."""
+    before, after = block[block.rfind("\n", 0, start) + 1 : start], block[end:].split("\n", 1)[0]
+    return not (before + after).strip(" \t\r#*=/-<>;:%!.()\"'")
+
+
 def another(notice: Notice, block: str, words: list[tuple[str, int, int]], used: set[int]) -> bool:
     """Whether the words about a notice, but for those of notices used before, make it another license than its template's."""
     name, text = TEMPLATES[notice.template]
     end = words[max(notice.matched)][2]
+    if N_NOTICES <= notice.template < N_NOTICES + len(TITLES):
+        return bool(notice.added or notice.lacking) or not _alone(block, notice.start, notice.end)
     if text.startswith("SPDX"):
         return not (TAG.fullmatch(block[notice.start : end]) and TAG_ENDS.match(block, end))
     if text.rstrip(".")[-1].isdigit() and VERSION_GOES_ON.match(block, end):
@@ -202,13 +275,25 @@ def recognised(block: str, p: LicenseScan) -> list[Notice]:
     return sorted(chosen, key=lambda n: n.start)
 
 
+def _line_end(text: bytes, at_: int) -> int:
+    end = text.find(b"\n", min(at_, len(text)))
+    return len(text) if end < 0 else end
+
+
 def candidate_blocks(text: bytes, gap: int) -> list[tuple[int, int]]:
-    """Byte spans of the runs of lines around mentions of a license."""
+    """Byte spans of the runs of lines around mentions of a license.
+
+    Where a whole text may begin the lines of the longest one follow; a title may
+    go on in the next line.
+    """
     found: list[list[int]] = []
     for m in HINT.finditer(text):
         start = text.rfind(b"\n", 0, m.start()) + 1
-        end = text.find(b"\n", m.end())
-        end = len(text) if end < 0 else end
+        end = _line_end(text, m.end())
+        if BEGINS.match(text, m.start()):
+            end = _line_end(text, m.start() + LONGEST)
+        elif end - start <= 80 and text[start:end].rstrip(b" \t\r*").lower().endswith(b"license"):
+            end = _line_end(text, end + 1)
         if found and (start < found[-1][1] or text.count(b"\n", found[-1][1], start) <= gap + 1):
             found[-1][1] = max(found[-1][1], end)
         else:
