@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -152,8 +153,52 @@ def scanned(make, texts):
 
 def test_licenses_in_long_lines(make):
     prose = " ".join(f"some{i} ordinary{i * 7} words{i % 5} of prose" for i in range(400))
-    got = scanned(make, [f"{prose[:k]} {t} {prose[:k]}" for _, t in licenses.TEMPLATES for k in (60, 500, 9000)])
-    assert got == [n for n, _ in licenses.TEMPLATES for _ in range(3)]
+    notices = [x for x in licenses.TEMPLATES if x not in licenses.TITLES]
+    got = scanned(make, [f"{prose[:k]} {t} {prose[:k]}" for _, t in notices for k in (60, 500, 9000)])
+    assert got == [n for n, _ in notices for _ in range(3)]
+
+
+def test_license_titles_stand_alone_on_their_lines(make):
+    titles = licenses.TITLES
+    prose = "Some prose about licences in general.\n"
+    shown = [f"{prose}\n# {t}\n\nCopyright (c) 2020 Somebody" for _, t in titles] + [f"  {t.replace(' Version', chr(10) + '   Version')}\n{prose}" for _, t in titles]
+    assert scanned(make, shown) == [n for n, _ in titles] * 2
+    inside = [f"We compared the {t} with others." for n, t in titles if n in ("MIT", "ISC", "Zlib", "MPL-2.0")]
+    assert scanned(make, inside) == [""] * len(inside)
+
+
+def wrapped(text, width):
+    lines, line = [], ""
+    for w in text.split(" "):
+        if len(line) + len(w) > width:
+            lines.append(line)
+            line = ""
+        line = f"{line} {w}".strip()
+    return "\n * ".join([*lines, line])
+
+
+def test_every_pair_of_notices_is_found(make):
+    """Planted in prose at several distances, wrapped as comments, and side by side: all of both, and nothing else."""
+    draw = random.Random(11)
+    notices = [x for x in licenses.TEMPLATES if x not in licenses.TITLES and not x[1].startswith("SPDX")]
+    prose = lambda n: " ".join(draw.choice("some plain words about rivers and mills that nobody reads".split()) for _ in range(n))
+    texts, want = [], []
+    for name, text in notices:
+        for _ in range(4):
+            other, second = draw.choice(notices)
+            gap = draw.choice(["\n", " ", "\n" + prose(3) + "\n", "\n\n\n\n" + prose(30) + "\n"])
+            parts = [wrapped(x, 70) if draw.random() < 0.5 and len(x) > 100 else x for x in (text, second)]
+            texts.append(f"{prose(draw.randint(0, 40))}. {parts[0]}{gap}{parts[1]} {prose(draw.randint(0, 40))}")
+            want.append({name, other})
+    got = [set(x.split(",")) if x else set() for x in scanned(make, texts)]
+    found = sum(len(g & w) for g, w in zip(got, want, strict=True))
+    assert found >= 0.95 * sum(map(len, want)) and sum(len(g - w) for g, w in zip(got, want, strict=True)) <= 0.01 * len(want)
+
+
+def test_the_two_bsd_licenses_are_told_apart(make):
+    whole = {n: t for n, t in licenses.TEMPLATES if n.startswith("BSD") and len(t) > 500}
+    assert scanned(make, list(whole.values())) == list(whole)
+    assert scanned(make, [t.upper() for t in whole.values()]) == list(whole)
 
 
 def test_licenses_side_by_side(make):
@@ -180,7 +225,8 @@ def test_licenses_are_not_taken_for_others(make):
         "// SPDX-License-Identifier: (MIT OR Apache-2.0)": "Apache-2.0,MIT",
         "SPDX-License-Identifier: GPL-2.0-only\nint main": "GPL-2.0",
         "SPDX-License-Identifier: CC-BY-NC-SA-4.0": "CC-BY-NC-SA-4.0",
-        "SPDX-License-Identifier: Zlib\nfrom MIT": "",
+        "SPDX-License-Identifier: EPL-2.0\nfrom MIT": "",
+        "SPDX-License-Identifier: Zlib\nfrom MIT": "Zlib",
     }
     got = scanned(make, list(want))
     assert dict(zip(want, got, strict=True)) == want
