@@ -13,14 +13,14 @@ def _large_star(links: DataFrame, total: int) -> DataFrame:
     """Every larger neighbour of a node is linked with the node's least neighbour (or itself)."""
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n")).select("a", F.least("a", "m").alias("m"), "n")
-    joined = join_counted(both.filter("b > a"), least, ["a"], "n", 2 * total)
+    joined = join_counted(both.filter("b > a"), least, ["a"], "n", 2 * total, ["b"])
     return joined.select(F.col("m").alias("a"), "b").filter("a < b").distinct()
 
 
 def _small_star(links: DataFrame, total: int) -> DataFrame:
     """Every smaller neighbour of a node, and the node, are linked with the least of them.  Links have a < b."""
     least = links.groupBy("b").agg(F.min("a").alias("m"), F.count(F.lit(1)).alias("n"))
-    joined = join_counted(links, least, ["b"], "n", total)
+    joined = join_counted(links, least, ["b"], "n", total, ["a"])
     return (
         joined.select(F.col("m").alias("a"), F.col("a").alias("b"))
         .unionByName(joined.select(F.col("m").alias("a"), "b"))

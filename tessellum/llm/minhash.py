@@ -13,7 +13,7 @@ document of a list is its centre, and each document first goes with the centre
 that it collides with most.  The links that are confirmed are contracted into
 components, and only members of lists that still hold several components are
 compared again, in blocks of bounded size, one component with another.  Exact copies are one set from the start.
-Keys with a large share of the rows, a class of copies or a list, are joined by broadcast of their few rows.
+Keys with a large share of the rows, a class of copies, a list or a centre, are dealt to several tasks in joins.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from tessellum.llm import arrowtext as at
 from tessellum.llm.components import connected_components
-from tessellum.llm.skew import join_counted
+from tessellum.llm.skew import counted, join_counted
 from tessellum.llm.storage import materialise
 
 U64 = np.uint64
@@ -187,10 +187,15 @@ def _agree(batches: Iterator[pa.RecordBatch], p: NearDuplicates) -> Iterator[pa.
             yield batch.filter(pa.array(same >= p.threshold)).select(["a", "b"])
 
 
+def _both_sides(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
+    """Pairs with what is known of a and of b; an a may be the centre of a large share of all pairs."""
+    return join_counted(pairs, counted(pairs, left, ["a"]), ["a"], "n", pairs.count(), ["b"]).join(right, "b")
+
+
 def _above_threshold(pairs: DataFrame, reps: DataFrame, p: NearDuplicates) -> DataFrame:
     left = reps.select(F.col("rep").alias("a"), F.col("signature").alias("sa"))
     right = reps.select(F.col("rep").alias("b"), F.col("signature").alias("sb"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(partial(_agree, p=p), "a bigint, b bigint")
+    return _both_sides(pairs, left, right).select("a", "b", "sa", "sb").mapInArrow(partial(_agree, p=p), "a bigint, b bigint")
 
 
 def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
@@ -227,7 +232,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, p: NearDuplicates) -> DataFrame
     held = _held(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")), docs, p)
     left = held.select(F.col("rep").alias("a"), F.col("held").alias("ha"))
     right = held.select(F.col("rep").alias("b"), F.col("held").alias("hb"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "ha", "hb").mapInArrow(partial(_confirm, similarity=p.similarity), "a bigint, b bigint")
+    return _both_sides(pairs, left, right).select("a", "b", "ha", "hb").mapInArrow(partial(_confirm, similarity=p.similarity), "a bigint, b bigint")
 
 
 def _common(one: list[np.ndarray], two: list[np.ndarray], cells: int = 1 << 22) -> np.ndarray:
@@ -328,12 +333,12 @@ def _remaining(postings: DataFrame, reps: DataFrame, labels: DataFrame, docs: Da
         .select("pair", "main", "total")
     )
     lists = materialise(lists, "lists")
-    member = join_counted(known, lists.withColumn("n", F.col("total")), ["pair"], "n", known.count())
+    member = join_counted(known, lists.withColumn("n", F.col("total")), ["pair"], "n", known.count(), ["rep"])
     member = materialise(member.join(reps.select("rep", "signature", "n_shingles"), "rep"), "members")
     weight = member.groupBy("pair").agg(F.count(F.lit(1)).alias("n"), (8 * F.sum("n_shingles")).alias("bytes"))
     chunks = F.greatest(F.ceil(F.col("n") / p.block), F.ceil(F.col("bytes") / p.block_bytes))
     weight = materialise(weight.select("pair", "n", chunks.alias("chunks"), ((F.col("n") > p.long)).alias("long")), "weights")
-    member = join_counted(member, weight, ["pair"], "n", member.count()).withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")))
+    member = join_counted(member, weight, ["pair"], "n", member.count(), ["rep"]).withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")))
 
     def met(member: DataFrame, item: Column, full: bool) -> DataFrame:
         every = member.groupBy("pair", "chunk").agg(F.collect_list(item).alias("two"))
@@ -363,11 +368,11 @@ def similar_links(docs: DataFrame, p: NearDuplicates = NearDuplicates()) -> tupl
     common, rank = _frequent_pairs(reps, p)
     posted = materialise(reps.select("rep", "signature").mapInArrow(partial(_post, p=p, common=common, rank=rank), "pair bigint, rep bigint"), "posted")
     shared = materialise(posted.groupBy("pair").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("centre")).filter("n > 1"), "shared")
-    postings = materialise(join_counted(posted, shared, ["pair"], "n", posted.count()), "postings")
+    postings = materialise(join_counted(posted, shared, ["pair"], "n", posted.count(), ["rep"]), "postings")
     # each document goes with the centre it collides with most
     collisions = postings.filter("rep != centre").groupBy("rep", "centre").agg(F.count(F.lit(1)).alias("n"))
     stars = collisions.groupBy("rep").agg(F.max_by("centre", F.struct("n", -F.col("centre"))).alias("a")).select("a", F.col("rep").alias("b"))
-    links = materialise(confirmed(_above_threshold(stars, reps, p), docs, p), "confirmed")
+    links = materialise(confirmed(_above_threshold(materialise(stars, "stars"), reps, p), docs, p), "confirmed")
     labels = materialise(connected_components(links).withColumnRenamed("node", "rep"), "labels")
     more = materialise(_remaining(postings, reps, labels, docs, p, common, rank), "confirmed")
     return signed, reps, links.unionByName(more)
@@ -391,7 +396,7 @@ def near_duplicates(docs: DataFrame, p: NearDuplicates = NearDuplicates()) -> Da
     found = F.coalesce("component", "rep").alias("component_id")
     classes = materialise(reps.join(components.withColumnRenamed("node", "rep"), "rep", "left").select(*same, "n", found), "classes")
     rows = signed.select("doc_id", *same)
-    linked = join_counted(rows.filter(USABLE), classes, same, "n", rows.count()).select("doc_id", "n_shingles", "component_id")
+    linked = join_counted(rows.filter(USABLE), classes, same, "n", rows.count(), ["doc_id", F.spark_partition_id()]).select("doc_id", "n_shingles", "component_id")
     alone = rows.filter(f"NOT ({USABLE})").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
     return linked.unionByName(alone).select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
