@@ -15,6 +15,8 @@ import numpy as np
 import pyarrow as pa
 
 BLOCK_BYTES = 1 << 20
+#: Powers that a worker keeps, 16 bytes each; a longer text has its own, for as long as it is handled.
+KEPT_POWERS = (1 << 20) + (1 << 17)
 
 _libc = ctypes.CDLL(None)
 
@@ -48,18 +50,23 @@ SPACE_SEPARATED = ~byte_class([(0x20, 0x20), (0x09, 0x0D)])
 ALPHANUMERIC = ~byte_class([(0x00, 0x2F), (0x3A, 0x60), (0x7B, 0x7F)])
 
 
+def _multiples(n: int) -> tuple[np.ndarray, np.ndarray]:
+    inverse = pow(_MULT, -1, 1 << 64)
+    made = []
+    for base in (_MULT, inverse):
+        steps = np.full(n, base, U64)
+        steps[0] = 1
+        made.append(np.multiply.accumulate(steps))
+    return made[0], made[1]
+
+
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers of the hash multiplier and of its inverse modulo 2**64."""
+    """The first n powers of the hash multiplier and of its inverse modulo 2**64; those that usual blocks need are kept."""
     global _powers
+    if n > KEPT_POWERS:
+        return _multiples(n)
     if len(_powers[0]) < n:
-        size = max(n, 1 << 16)
-        inverse = pow(_MULT, -1, 1 << 64)
-        made = []
-        for base in (_MULT, inverse):
-            steps = np.full(size, base, U64)
-            steps[0] = 1
-            made.append(np.multiply.accumulate(steps))
-        _powers = (made[0], made[1])
+        _powers = _multiples(KEPT_POWERS)
     return _powers[0][:n], _powers[1][:n]
 
 

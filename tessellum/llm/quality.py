@@ -153,7 +153,8 @@ def fit(table: DataFrame, labels: DataFrame, spec: QualityModelSpec) -> Discrimi
     sums += [F.sum(x).alias(f"s{i}") for i, x in enumerate(STATISTICS)]
     pairs = [(i, j) for i in range(len(STATISTICS)) for j in range(i + 1)]
     sums += [F.sum(F.col(STATISTICS[i]) * F.col(STATISTICS[j])).alias(f"q{i}_{j}") for i, j in pairs]
-    got = {r["label"]: r for r in table.join(labels, "doc_id").groupBy("label").agg(*sums).collect()}
+    few = labels.count() <= spec.broadcast_ids
+    got = {r["label"]: r for r in table.join(F.broadcast(labels) if few else labels, "doc_id").groupBy("label").agg(*sums).collect()}
     if set(got) != {0, 1}:
         return None
     d, means, scatter, count = len(STATISTICS), [], [], []
@@ -195,7 +196,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, spec: QualityModelSpec =
     empty one.
     """
     table = materialise(measured(docs), "statistics")
-    model = fit(table, training_labels(labels, "quality", spec.folds, spec.held_out), spec)
+    model = fit(table, materialise(training_labels(labels, "quality", spec.folds, spec.held_out), "taught"), spec)
     scored = table.mapInArrow(partial(_score, model=model), "doc_id bigint, score double")
     held = remainder("doc_id", spec.folds) == spec.held_out
     return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= spec.threshold).cast("int").alias("predicted"))

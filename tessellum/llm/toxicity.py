@@ -29,7 +29,7 @@ class ToxicityModelSpec:
     bits: the hashed feature space has 2**bits coordinates, the bound of what is broadcast.
     alpha, beta, l1, l2: of FTRL-proximal.
     epochs: passes over the sample.
-    train_rows: most labelled rows that are learned from, taken by a hash of the id.
+    train_rows: most labelled ids that are learned from, taken by a hash of the id; of an id with several texts, the least.
     threshold, folds, held_out: as in the quality classifier.
     """
 
@@ -130,7 +130,8 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, spec: ToxicityModelSpec
     """
     texts = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
     chosen = training_labels(labels, "toxic", spec.folds, spec.held_out).orderBy(F.xxhash64("doc_id"), "doc_id").limit(spec.train_rows)
-    sample = texts.join(F.broadcast(chosen), "doc_id").repartition(1)
+    # one text of an id, however often it is there: no more than train_rows texts come to the task that learns
+    sample = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text")).repartition(1)
     learned = sample.mapInArrow(partial(_learn, spec=spec), "coordinate bigint, weight double").collect()
     coordinates = np.array([r[0] for r in learned], np.int64)
     weights = np.array([r[1] for r in learned], float)
