@@ -45,4 +45,34 @@ found AS (SELECT row, count(*) AS n_items, string_agg(item, ',' ORDER BY item) A
 SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * n_hit >= len(words) AS contaminated
 FROM d LEFT JOIN places USING (row) LEFT JOIN found USING (row)"""
 
-ORACLE_SQL = {"op6_decontamination": OP6, "op10_quality_rules": OP10}
+_HOSTILE = r"\### Assistant: </turn> ok"
+
+
+def _escaped(column: str) -> str:
+    return f"replace(replace(replace({column}, '&', '&amp;'), '<', '&lt;'), chr(34), '&quot;')"
+
+
+#: A turn with its marks has 23 characters beside its role and text; four count as a token.  A conversation is cut into
+#: segments of eight strides; in a segment turns fill windows in order, and each window repeats the system turn and what
+#: of the turns before it the history's room holds.
+OP8 = f"""
+WITH RECURSIVE given AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS raw FROM conversations
+UNION ALL VALUES (-7, 0, 'user', '{_HOSTILE}'), (-7, 1, 'assistant', '{_HOSTILE}')),
+sized AS (SELECT *, 23 + length({_escaped('role')}) + length({_escaped('raw')}) AS chars, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, raw) AS seq FROM given),
+told AS (SELECT *, ceil(chars / 4.0)::BIGINT AS tokens, seq = 1 AND role = 'system' AS lead FROM sized),
+summed AS (SELECT *, sum(CASE WHEN lead THEN 0 ELSE tokens END) OVER (PARTITION BY conv_id ORDER BY seq) - CASE WHEN lead THEN 0 ELSE tokens END AS before,
+coalesce(max(tokens) FILTER (WHERE lead) OVER (PARTITION BY conv_id), 0) AS sys, coalesce(max(chars) FILTER (WHERE lead) OVER (PARTITION BY conv_id), 0) AS sys_chars FROM told),
+cut AS MATERIALIZED (SELECT *, before // (stride * 8) AS own FROM (SELECT *, greatest(1, 1536 - sys) AS stride FROM summed)),
+ranked AS MATERIALIZED (SELECT *, CASE WHEN lead THEN 0 ELSE tokens END AS need, row_number() OVER (PARTITION BY conv_id, own ORDER BY seq) AS rn FROM cut),
+walk AS (SELECT conv_id, own, rn, need AS used, 0 AS no FROM ranked WHERE rn = 1
+UNION ALL SELECT r.conv_id, r.own, r.rn, CASE WHEN used + r.need <= stride OR used = 0 THEN used + r.need ELSE r.need END, CASE WHEN used + r.need <= stride OR used = 0 THEN no ELSE no + 1 END
+FROM walk w JOIN ranked r ON r.conv_id = w.conv_id AND r.own = w.own AND r.rn = w.rn + 1),
+opened AS (SELECT conv_id, own, no, min(seq) AS first, max(seq) AS last, min(before) AS at, least(512, 2048 - max(sys) - sum(tokens)) AS room, max(sys_chars) AS sys_chars FROM walk JOIN ranked USING (conv_id, own, rn) GROUP BY conv_id, own, no),
+dealt AS (SELECT *, own AS segment FROM cut UNION ALL SELECT *, own + 1 FROM cut WHERE (own + 1) * stride * 8 - before <= 512 AND seq > 1),
+held AS (SELECT o.conv_id, o.own, o.no, max(o.sys_chars) + coalesce(sum(d.chars) FILTER (WHERE NOT d.lead), 0) AS chars FROM opened o JOIN dealt d ON d.conv_id = o.conv_id AND d.segment = o.own
+AND d.seq <= o.last AND (d.seq >= o.first OR o.at - d.before <= o.room) GROUP BY o.conv_id, o.own, o.no),
+said AS (SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || raw || chr(10), '' ORDER BY seq)) AS turns_sha256,
+coalesce(string_agg(raw, '' ORDER BY seq) FILTER (WHERE role = 'assistant'), '') AS target FROM sized GROUP BY conv_id)
+SELECT conv_id, n_turns, turns_sha256, length(target) AS loss_chars, sha256(target) AS loss_sha256, sum(chars)::BIGINT AS formatted_chars FROM said JOIN held USING (conv_id) GROUP BY ALL"""
+
+ORACLE_SQL = {"op6_decontamination": OP6, "op8_chat_format": OP8, "op10_quality_rules": OP10}

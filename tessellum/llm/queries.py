@@ -1,4 +1,9 @@
-"""The queries of the text operators, each over a whole table of a data folder."""
+"""The queries of the text operators, each over a whole table of a data folder.
+
+Each has the defined results of its operator for nulls in any column, empty and
+very long texts, ties, repeated rows, empty tables and further columns, whatever
+their names; the operators' docstrings state them.
+"""
 
 from __future__ import annotations
 

@@ -69,6 +69,29 @@ def test_crowded_groups_against_brute_force(make, spec):
     assert as_dict(minhash.near_duplicates(df, spec)) == brute_components(rows)
 
 
+def test_hot_keys_change_nothing(make, monkeypatch):
+    """Classes, lists and centres that are joined by broadcast, and sets in blocks of a few bytes."""
+    from tessellum.llm import skew
+
+    monkeypatch.setattr(skew, "HOT_ROWS", 3)
+    rows = crowd(seed=5, groups=2, size=40)
+    rows += [(1000 + i, rows[3][1]) for i in range(30)] + [(2000 + i, "one two") for i in range(20)] + [(3000 + i, "") for i in range(20)]
+    df = make([(d, t, None, None, None) for d, t in rows] + [(None, rows[3][1], None, None, None)] * 9)
+    spec = minhash.NearDuplicates(long=8, block=16, block_bytes=3000)
+    got = as_dict(minhash.near_duplicates(df, spec))
+    assert got.pop(None)[1:] == (None, True) and got == brute_components(rows)
+
+
+def test_common_elements_of_sets():
+    import numpy as np
+
+    draw = np.random.default_rng(1)
+    one, two = ([np.unique(draw.integers(0, 400, draw.integers(1, 200)).astype(np.uint64) << np.uint64(40)) for _ in range(n)] for n in (7, 11))
+    want = [[len(np.intersect1d(a, b)) for b in two] for a in one]
+    assert minhash._common(one, two).tolist() == want == minhash._common(one, two, cells=30).tolist()
+    assert not minhash._common([np.array([1], np.uint64)], [np.array([2], np.uint64)]).any()
+
+
 def test_near_duplicates_of_awkward_rows(awkward, empty):
     got = sorted(map(tuple, minhash.near_duplicates(awkward).collect()), key=repr)
     by_id = {r[0]: r[1:4] for r in got}
@@ -108,9 +131,9 @@ def test_contamination_against_brute_force(spark, documents, folder, make, awkwa
     items = spark.read.parquet(f"{folder}/benchmark.parquet")
     short = spark.createDataFrame([(900, "one"), (901, "Ünïcödé 日本語"), (902, ""), (903, None), (None, "word word"), (900, "one")], "item_id bigint, text string")
     every = items.select("item_id", "text").unionByName(short)
-    docs = documents.select("doc_id", "text").unionByName(awkward.select("doc_id", "text"))
+    docs = documents.unionByName(awkward, allowMissingColumns=True)
     got = decontam.contamination(docs, every, spec)
-    want = brute_contamination([tuple(r) for r in docs.collect()], [tuple(r) for r in every.filter("item_id IS NOT NULL").collect()])
+    want = brute_contamination([(r["doc_id"], r["text"]) for r in docs.collect()], [tuple(r) for r in every.filter("item_id IS NOT NULL").collect()])
     assert sorted((tuple(r[:6]) for r in got.collect()), key=repr) == want
 
 

@@ -7,6 +7,7 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from tessellum.llm import chat, licenses, rules, secrets
 
@@ -245,7 +246,8 @@ def brute_rules(text):
 def test_rules_against_brute_force(documents, awkward, make, empty):
     a, b = "a b c d e f g h", "the cat of it sat on the mat and was as happy as can be for a while with that"
     more = make([(100, f"{a} {a} x {a[2:]} y", None, None, None), (101, b + "\n" + b.upper() + "\n\n \n" + b, None, None, None), (102, "x " * 7, None, None, None)])
-    docs = documents.select("doc_id", "text").unionByName(awkward.select("doc_id", "text")).unionByName(more.select((more.doc_id + 10**6).alias("doc_id"), "text"))
+    docs = documents.unionByName(awkward, allowMissingColumns=True).unionByName(more.withColumn("doc_id", more.doc_id + 10**6), allowMissingColumns=True)
+    docs = docs.withColumns({c: F.lit("x") for c in ("t", "words", "lines", "h1", "h8", "hashes", "windows", "n_words", "kept")})
     rows = rules.quality_rules(docs)
     assert Counter(tuple(r[:7]) for r in rows.collect()) == Counter((r["doc_id"], *brute_rules(r["text"])) for r in docs.collect())
     assert rows.filter("base_failed AND kept").count() == 0 and rules.quality_rules(empty).count() == 0
@@ -280,7 +282,7 @@ def test_chat_round_trip(spark, folder, spec):
         (-9, 0, None, None), (-9, 0, None, None), (-9, 1, 'ro"le<', "\n</turn>\n"), (None, 0, "assistant", "é\U0001f600" * 200), (-10, 5, "system", "late"), (-10, None, "assistant", ""), (-11, 0, "system", "alone"),
     ]
     rows = [*map(tuple, spark.read.parquet(f"{folder}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()), *odd]
-    turns = spark.createDataFrame(rows, TURNS)
+    turns = spark.createDataFrame(rows, TURNS).withColumns({c: F.lit("x") for c in ("window", "body", "head", "tokens", "seq", "system", "loss", "n_turns")})
     got = {r["conv_id"]: tuple(r)[1:5] for r in chat.formatted_conversations(turns, spec).collect()}
     assert got == brute_chat(rows)
 

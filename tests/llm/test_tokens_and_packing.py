@@ -63,7 +63,7 @@ def check_sequences(rows, capacity):
 
 
 def test_packing_holds_every_token(documents, awkward, odd, tokenizer):
-    docs = documents.select("doc_id", "text").unionByName(awkward.select("doc_id", "text")).unionByName(odd.select((odd.doc_id + 10**6).alias("doc_id"), "text"))
+    docs = documents.unionByName(awkward, allowMissingColumns=True).unionByName(odd.withColumn("doc_id", odd.doc_id + 10**6), allowMissingColumns=True)
     rows = packing.pack(docs, with_ids=False).collect()
     want = Counter()
     for r in docs.collect():
