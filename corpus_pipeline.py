@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessellum.llm import decontam, minhash, packing, quality, secrets
+from tessellum.llm.skew import join_counted
 from tessellum.llm.storage import materialise
 
 #: Most ids that are broadcast to a filter; above it, the filter is a shuffled join.
@@ -51,10 +52,10 @@ def _free_name(docs: DataFrame, name: str = "row_key") -> str:
     return name
 
 
-def _without(docs: DataFrame, ids: DataFrame, key: str) -> DataFrame:
-    """The rows of docs whose key is not among ids(key)."""
+def _filtered(docs: DataFrame, ids: DataFrame, key: str, how: str) -> DataFrame:
+    """The rows of docs whose key is (left_semi) or is not (left_anti) among ids(key)."""
     ids = materialise(ids.distinct(), "ids")
-    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, key, "left_anti")
+    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, key, how)
 
 
 @_bounded
@@ -75,17 +76,18 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     found = materialise(minhash.near_duplicates(keyed.select(F.col(key).alias("doc_id"), "text"), NEAR), "near")
     rows = found.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias(key)).agg(F.count(F.lit(1)).alias("n"), F.min("component_id").alias("component"), F.min("n_shingles").alias("n_shingles"))
     rows = materialise(rows, "rows")
-    grouped = materialise(rows.groupBy("component").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("component"), "grouped")
-    members = rows.filter("n_shingles > 0").join(grouped, "component", "left_semi").select(key, "component").join(keyed.select(key, "doc_id").distinct(), key)
+    grouped = materialise(rows.groupBy("component").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "grouped")
+    linked = join_counted(rows.filter("n_shingles > 0").select(key, "component"), grouped, ["component"], "n", rows.count(), [key])
+    members = linked.join(keyed.select(key, "doc_id").distinct(), key)
     members = materialise(members, "members")
     least = members.groupBy("component").agg(F.min_by(key, F.struct("doc_id", key)).alias(key))
-    left = _without(keyed, members.select(key).join(least.select(key), key, "left_anti"), key)
+    left = _filtered(keyed, members.select(key).join(least.select(key), key, "left_anti"), key, "left_anti")
     repeated = materialise(rows.filter("n > 1").select(key), "repeated")
     if repeated.isEmpty():
         return left.select(*docs.columns)
     row = F.struct(*[F.col(c) for c in docs.columns])
-    one = left.join(repeated, key, "left_semi").groupBy(key).agg(F.min_by(row, F.to_json(row)).alias("row")).select("row.*").select(*docs.columns)
-    return _without(left, repeated, key).select(*docs.columns).unionByName(one)
+    one = _filtered(left, repeated, key, "left_semi").groupBy(key).agg(F.min_by(row, F.to_json(row)).alias("row")).select("row.*").select(*docs.columns)
+    return _filtered(left, repeated, key, "left_anti").select(*docs.columns).unionByName(one)
 
 
 @_bounded
@@ -98,7 +100,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     key = _free_name(docs)
     keyed = docs.withColumn(key, F.xxhash64("doc_id", "text"))
     judged = decontam.contamination(keyed.select(F.col(key).alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return _without(keyed, judged.filter("contaminated").select(F.col("doc_id").alias(key)), key).select(*docs.columns)
+    return _filtered(keyed, judged.filter("contaminated").select(F.col("doc_id").alias(key)), key, "left_anti").select(*docs.columns)
 
 
 @_bounded
