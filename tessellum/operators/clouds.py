@@ -56,24 +56,44 @@ def zbuffer(points: DataFrame, u: Column, v: Column, depth: Column, width: int,
     return framed.groupBy(*(by or []), "u", "v").agg(F.min("depth").alias("depth"))
 
 
-def box_diagonal(df: DataFrame, axes: list[str], low: float = 0.0, high: float = 1.0) -> DataFrame:
-    """One row: exact low and high percentiles of each axis and the diagonal between them."""
-    ends = [F.percentile(c, F.array(F.lit(low), F.lit(high))).alias(c) for c in axes]
+def box_diagonal(df: DataFrame, axes: list[str], low: float = 0.0, high: float = 1.0, accuracy: int | None = None) -> DataFrame:
+    """One row: low and high percentiles of each axis and the diagonal between them.
+
+    Exact percentiles between the ends gather the distinct values of an axis; an
+    accuracy (the error is a share of 1 / accuracy of the rows) makes them
+    sketches of bounded size instead.  The ends themselves, 0 and 1, are minima
+    and maxima.
+    """
+
+    def at(c: str) -> Column:
+        if (low, high) == (0.0, 1.0):
+            return F.array(F.min(c), F.max(c)).cast("array<double>")
+        share = F.array(F.lit(low), F.lit(high))
+        return F.percentile(c, share) if accuracy is None else F.percentile_approx(c, share, accuracy).cast("array<double>")
+
+    ends = [at(c).alias(c) for c in axes]
     got = df.agg(*ends)
     span = reduce(lambda a, b: a + b, [(F.col(c)[1] - F.col(c)[0]) * (F.col(c)[1] - F.col(c)[0]) for c in axes])
     return got.select(*[F.col(c)[0].alias(f"low_{c}") for c in axes], *[F.col(c)[1].alias(f"high_{c}") for c in axes], F.sqrt(span).alias("diagonal"))
 
 
-def neighbour_distances(points: DataFrame, key: str, axes: list[str], k: int, cell: float) -> DataFrame:
+def neighbour_distances(points: DataFrame, key: str, axes: list[str], k: int, cell: float, densest: int = 4096) -> DataFrame:
     """(key, mean_distance): exact mean distance of each point to its k nearest others.
 
     Points meet those of the cells around them, in a grid of width `cell`.  A
     point's k nearest are certain once k lie within one cell's width; for the
-    others the grid is widened twofold and they are looked up again.
+    others the grid is widened twofold and they are looked up again.  It begins
+    narrower where a cell holds more than `densest` points, and only k distances
+    of a point are ever gathered.
     """
     cloud = materialise(points.select(key, *axes), "cloud")
     pending, done, width = cloud, [], float(cell)
     total = cloud.count()
+    for _ in range(16):
+        most = cloud.groupBy(*cells(axes, [width] * len(axes))).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+        if (most or 0) <= densest:
+            break
+        width /= 2
     while True:
         grid = cloud.select(F.col(key).alias("__key"), *[F.col(a).alias(f"__{a}") for a in axes], *cells(axes, [width] * len(axes)))
         around = pending.select("*", *cells(axes, [width] * len(axes)))
@@ -81,7 +101,8 @@ def neighbour_distances(points: DataFrame, key: str, axes: list[str], k: int, ce
             around = around.withColumn(f"cell_{a}", F.explode(F.array(*[F.col(f"cell_{a}") + d for d in (-1, 0, 1)])))
         square = reduce(lambda x, y: x + y, [(F.col(a) - F.col(f"__{a}")) * (F.col(a) - F.col(f"__{a}")) for a in axes])
         near = around.join(grid, [f"cell_{a}" for a in axes]).filter(F.col(key) != F.col("__key")).select(key, F.sqrt(square).alias("distance"))
-        nearest = near.groupBy(key).agg(F.slice(F.array_sort(F.collect_list("distance")), 1, k).alias("nearest"))
+        few = near.withColumn("__rank", F.row_number().over(Window.partitionBy(key).orderBy("distance"))).filter(F.col("__rank") <= k)
+        nearest = few.groupBy(key).agg(F.array_sort(F.collect_list("distance")).alias("nearest"))
         sure = nearest.filter((F.size("nearest") == min(k, total - 1)) & (F.element_at("nearest", -1) <= width))
         means = sure.select(key, (F.aggregate("nearest", F.lit(0.0), lambda s, x: s + x) / F.size("nearest")).alias("mean_distance"))
         means = materialise(means, "neighbours")

@@ -162,6 +162,6 @@ def freed(files: DataFrame, keep: list[str]) -> DataFrame:
     return rest.agg(F.count(F.lit(1)).alias("n_files"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes"))
 
 
-def largest_model(models: DataFrame) -> DataFrame:
-    """Of sub-models (name, n_images) the one with the most images, the first by name on a tie."""
-    return models.agg(F.max_by("name", F.struct("n_images", F.lit(0))).alias("any"), F.max("n_images").alias("n_images")).join(models, "n_images").agg(F.min("name").alias("name"))
+def largest_model(models: DataFrame, size: str = "n_images") -> DataFrame:
+    """Of sub-models (name, size) the name of the largest, the first by name on a tie."""
+    return models.agg(F.min_by("name", F.struct((-F.col(size)).alias("size"), "name")).alias("name"))

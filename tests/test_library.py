@@ -146,6 +146,16 @@ def test_outliers_by_brute_force(spark):
     assert {r["id"] for r in clouds.without_outliers(df, "id", list("xyz"), 10, 2.0, 0.3).collect()} == want
 
 
+def test_outliers_of_a_dense_cell(spark):
+    draw = np.random.default_rng(4)
+    xyz = np.concatenate([draw.uniform(0, 1, (150, 3)), draw.uniform(0, 0.01, (60, 3)), [[0.005] * 3] * 10])
+    df = spark.createDataFrame([(i, *map(float, x)) for i, x in enumerate(xyz)], "id int, x double, y double, z double")
+    got = {r["id"]: r["mean_distance"] for r in clouds.neighbour_distances(df, "id", ["x", "y", "z"], 5, 2.0, densest=20).collect()}
+    d = np.linalg.norm(xyz[:, None] - xyz[None], axis=2)
+    np.fill_diagonal(d, np.inf)
+    assert len(got) == 220 and all(abs(got[i] - np.sort(d[i])[:5].mean()) < 1e-9 for i in got)
+
+
 def test_ray_focus(spark):
     draw = np.random.default_rng(4)
     o = draw.uniform(-5, 5, (30, 3))
@@ -424,6 +434,8 @@ def test_frames_are_decoded(spark, tmp_path):
     rows = kernels.scored(kernels.frames(spark, str(tmp_path))).orderBy("name").collect()
     assert (rows[1]["name"], rows[1]["sharpness"], rows[1]["descriptor"]) == ("000002.png", 0.0, None)
     assert kernels.png(draw[..., ::-1])[8:] == png[8:]
+    made = kernels.inferred(kernels.frames(spark, str(tmp_path)), lambda: lambda image: image[..., 0] // 2)
+    assert {(r["v"], r["u"]): r["value"] for r in made.collect()} == {(v, u): draw[v, u, 2] // 2 for v in range(8) for u in range(10)}
     row = rows[0]
     assert row["name"] == "000001.png" and len(row["descriptor"]) == 4096
     assert row["sharpness"] == pytest.approx(kernels.sharpness(draw[..., ::-1]))
@@ -522,8 +534,9 @@ def test_a_run_densifies_reports_and_resumes(spark, model, tools, tmp_path, monk
 def test_an_invalid_run_reports_and_leaves_no_dataset(spark, tools, tmp_path):
     given, _ = tools
     folder = tmp_path / "capture"
-    code, _ = pipeline.execute(spark, str(folder), pipeline.Options(min_points=10**6, densify=False), given)
-    assert code == 1 and (folder / "report.html").exists() and not (folder / "capture_dataset").exists()
+    given.up_rotation = lambda images, points: np.diag([1.0, -1.0, -1.0])
+    code, found = pipeline.execute(spark, str(folder), pipeline.Options(min_points=10**6, densify=False), given)
+    assert found.up_aligned and code == 1 and (folder / "report.html").exists() and not (folder / "capture_dataset").exists()
 
 
 def test_frames_of_a_known_calibration(spark, tmp_path):
