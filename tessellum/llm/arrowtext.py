@@ -15,8 +15,8 @@ import numpy as np
 import pyarrow as pa
 
 BLOCK_BYTES = 1 << 20
-#: Powers that a worker keeps, 16 bytes each; a longer text has its own, for as long as it is handled.
-KEPT_POWERS = (1 << 20) + (1 << 17)
+#: Most powers that a worker keeps, 16 bytes each; a longer text has its own, for as long as it is handled.
+KEPT_POWERS = (1 << 22) + (1 << 18)
 
 _libc = ctypes.CDLL(None)
 
@@ -66,7 +66,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if n > KEPT_POWERS:
         return _multiples(n)
     if len(_powers[0]) < n:
-        _powers = _multiples(KEPT_POWERS)
+        _powers = _multiples(max(n, 1 << 16))
     return _powers[0][:n], _powers[1][:n]
 
 

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from tessellum.llm import arrowtext as at
 from tessellum.llm.components import connected_components
-from tessellum.llm.skew import counted, join_counted
+from tessellum.llm.skew import join_counted
 from tessellum.llm.storage import materialise
 
 U64 = np.uint64
@@ -48,6 +48,7 @@ class NearDuplicates:
         result.
     block, block_bytes: about how many members of a list, and bytes of their
         sets, are compared with others at once; a longer set stands alone.
+    beside: chunks of a list that one task compares with those outside its main component.
     long: members of lists longer than this bring their full sets along.
     broadcast_ids: most ids that are broadcast to pick texts; above it, a join.
     """
@@ -59,6 +60,7 @@ class NearDuplicates:
     order_sample: int = 8192
     block: int = 512
     block_bytes: int = 8 << 20
+    beside: int = 8
     long: int = 64
     broadcast_ids: int = 1_000_000
 
@@ -189,7 +191,7 @@ def _agree(batches: Iterator[pa.RecordBatch], p: NearDuplicates) -> Iterator[pa.
 
 def _both_sides(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
     """Pairs with what is known of a and of b; an a may be the centre of a large share of all pairs."""
-    return join_counted(pairs, counted(pairs, left, ["a"]), ["a"], "n", pairs.count(), ["b"]).join(right, "b")
+    return join_counted(pairs, left, ["a"], pairs.count(), ["b"]).join(right, "b")
 
 
 def _above_threshold(pairs: DataFrame, reps: DataFrame, p: NearDuplicates) -> DataFrame:
@@ -333,19 +335,21 @@ def _remaining(postings: DataFrame, reps: DataFrame, labels: DataFrame, docs: Da
         .select("pair", "main", "total")
     )
     lists = materialise(lists, "lists")
-    member = join_counted(known, lists.withColumn("n", F.col("total")), ["pair"], "n", known.count(), ["rep"])
+    member = join_counted(known, lists, ["pair"], known.count(), ["rep"], lists.select("pair", F.col("total").alias("n")))
     member = materialise(member.join(reps.select("rep", "signature", "n_shingles"), "rep"), "members")
     weight = member.groupBy("pair").agg(F.count(F.lit(1)).alias("n"), (8 * F.sum("n_shingles")).alias("bytes"))
     chunks = F.greatest(F.ceil(F.col("n") / p.block), F.ceil(F.col("bytes") / p.block_bytes))
     weight = materialise(weight.select("pair", "n", chunks.alias("chunks"), ((F.col("n") > p.long)).alias("long")), "weights")
-    member = join_counted(member, weight, ["pair"], "n", member.count(), ["rep"]).withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")))
+    member = join_counted(member, weight.drop("n"), ["pair"], member.count(), ["rep"], weight).withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")))
 
     def met(member: DataFrame, item: Column, full: bool) -> DataFrame:
-        every = member.groupBy("pair", "chunk").agg(F.collect_list(item).alias("two"))
-        outside = member.filter("component != main").groupBy("pair", F.col("chunk").alias("own"), "chunks").agg(F.collect_list(item).alias("one"))
-        outside = outside.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)))
+        # chunks of a list are dealt to tasks some at a time, and the chunks outside its main component go to each of these
+        groups = F.ceil(F.col("chunks") / p.beside)
+        every = member.groupBy("pair", "chunk", F.pmod("chunk", groups).alias("group")).agg(F.collect_list(item).alias("two"))
+        outside = member.filter("component != main").groupBy("pair", F.col("chunk").alias("own"), groups.alias("groups")).agg(F.collect_list(item).alias("one"))
+        outside = outside.withColumn("group", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("groups") - 1)))
         compare = partial(_compare, p=p, common=common, rank=rank, full=full)
-        return outside.join(every, ["pair", "chunk"]).select("pair", "one", "two").mapInArrow(compare, "a bigint, b bigint").distinct()
+        return outside.join(every, ["pair", "group"]).select("pair", "one", "two").mapInArrow(compare, "a bigint, b bigint").distinct()
 
     short = confirmed(met(member.filter("NOT long"), F.struct("rep", "component", "signature"), False), docs, p)
     crowded = member.filter("long")
@@ -368,7 +372,7 @@ def similar_links(docs: DataFrame, p: NearDuplicates = NearDuplicates()) -> tupl
     common, rank = _frequent_pairs(reps, p)
     posted = materialise(reps.select("rep", "signature").mapInArrow(partial(_post, p=p, common=common, rank=rank), "pair bigint, rep bigint"), "posted")
     shared = materialise(posted.groupBy("pair").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("centre")).filter("n > 1"), "shared")
-    postings = materialise(join_counted(posted, shared, ["pair"], "n", posted.count(), ["rep"]), "postings")
+    postings = materialise(join_counted(posted, shared.drop("n"), ["pair"], posted.count(), ["rep"], shared), "postings")
     # each document goes with the centre it collides with most
     collisions = postings.filter("rep != centre").groupBy("rep", "centre").agg(F.count(F.lit(1)).alias("n"))
     stars = collisions.groupBy("rep").agg(F.max_by("centre", F.struct("n", -F.col("centre"))).alias("a")).select("a", F.col("rep").alias("b"))
@@ -396,7 +400,7 @@ def near_duplicates(docs: DataFrame, p: NearDuplicates = NearDuplicates()) -> Da
     found = F.coalesce("component", "rep").alias("component_id")
     classes = materialise(reps.join(components.withColumnRenamed("node", "rep"), "rep", "left").select(*same, "n", found), "classes")
     rows = signed.select("doc_id", *same)
-    linked = join_counted(rows.filter(USABLE), classes, same, "n", rows.count(), ["doc_id", F.spark_partition_id()]).select("doc_id", "n_shingles", "component_id")
+    linked = join_counted(rows.filter(USABLE), classes.drop("n"), same, rows.count(), ["doc_id", F.spark_partition_id()], classes).select("doc_id", "n_shingles", "component_id")
     alone = rows.filter(f"NOT ({USABLE})").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
     return linked.unionByName(alone).select("doc_id", "n_shingles", "component_id", kept.alias("kept"))

@@ -5,29 +5,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessellum.llm.storage import materialise
+
 #: A key is hot if it has more rows than HOT_ROWS and than a HOT_KEYS-th of all rows: there are HOT_KEYS hot keys at most.
 HOT_ROWS, HOT_KEYS = 1024, 1000
 
 
-def join_counted(left: DataFrame, right: DataFrame, keys: list[str], n: str, total: int, spread: list[str | Column]) -> DataFrame:
-    """left joined with right by the keys, without right's column n.
+def join_counted(left: DataFrame, right: DataFrame, keys: list[str], total: int, spread: list[str | Column], counts: DataFrame | None = None) -> DataFrame:
+    """left joined with right, which has a row for each key at most, by the keys.
 
-    right has a row for each key, whose column n says how many rows of left have
-    it; total is at least the rows of left.  Rows of a hot key are dealt to parts
-    by a hash of the columns `spread`, and right's row goes to each part, so no
-    task reads more than about a HOT_KEYS-th of left for one key.  What is
-    broadcast are the hot keys, HOT_KEYS at most; right's rows grow by twice as
+    Rows of a hot key are dealt to parts by a hash of the columns `spread`, and
+    right's row goes to each part, so no task reads more than about a HOT_KEYS-th
+    of left for one key.  total is the number of rows of left; counts(keys, n) says
+    how many rows of left have each key, and is made where it isn't given.  What
+    is broadcast are the hot keys, HOT_KEYS at most; right's rows grow by twice as
     many at most.
     """
     most = max(HOT_ROWS, total // HOT_KEYS)
     parts, part = "__parts", "__part"
-    sized = right.withColumn(parts, F.ceil(F.col(n) / F.lit(most)).cast("int"))
-    hot = F.broadcast(sized.filter(F.col(parts) > 1).select(*keys, parts))
+    counts = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")) if counts is None else counts
+    hot = materialise(counts.filter(F.col("n") > most).select(*keys, F.ceil(F.col("n") / F.lit(most)).cast("int").alias(parts)), "hot")
+    if hot.isEmpty():
+        return left.join(right, keys)
+    hot = F.broadcast(hot)
     dealt = left.join(hot, keys, "left").withColumn(part, F.coalesce(F.pmod(F.xxhash64(*spread), F.col(parts)).cast("int"), F.lit(0)))
-    copied = sized.withColumn(part, F.explode(F.sequence(F.lit(0), F.greatest(F.col(parts) - 1, F.lit(0))))).drop(n, parts)
-    return dealt.drop(parts).join(copied, [*keys, part]).drop(part)
-
-
-def counted(left: DataFrame, right: DataFrame, keys: list[str], n: str = "n") -> DataFrame:
-    """The rows of right, a table of unique keys, that left has rows for, with their number."""
-    return right.join(left.groupBy(*keys).agg(F.count(F.lit(1)).alias(n)), keys)
+    copied = right.join(hot, keys, "left").withColumn(part, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(parts) - 1, F.lit(0)))))
+    return dealt.drop(parts).join(copied.drop(parts), [*keys, part]).drop(part)

@@ -77,7 +77,7 @@ def test_hot_keys_change_nothing(make, monkeypatch):
     rows = crowd(seed=5, groups=2, size=40)
     rows += [(1000 + i, rows[3][1]) for i in range(30)] + [(2000 + i, "one two") for i in range(20)] + [(3000 + i, "") for i in range(20)]
     df = make([(d, t, None, None, None) for d, t in rows] + [(None, rows[3][1], None, None, None)] * 9)
-    spec = minhash.NearDuplicates(long=8, block=16, block_bytes=3000)
+    spec = minhash.NearDuplicates(long=8, block=16, block_bytes=3000, beside=2)
     got = as_dict(minhash.near_duplicates(df, spec))
     assert got.pop(None)[1:] == (None, True) and got == brute_components(rows)
 
