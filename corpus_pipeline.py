@@ -77,7 +77,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     rows = found.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias(key)).agg(F.count(F.lit(1)).alias("n"), F.min("component_id").alias("component"), F.min("n_shingles").alias("n_shingles"))
     rows = materialise(rows, "rows")
     grouped = materialise(rows.groupBy("component").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "grouped")
-    linked = join_counted(rows.filter("n_shingles > 0").select(key, "component"), grouped, ["component"], "n", rows.count(), [key])
+    linked = join_counted(rows.filter("n_shingles > 0").select(key, "component"), grouped.drop("n"), ["component"], rows.count(), [key], grouped)
     members = linked.join(keyed.select(key, "doc_id").distinct(), key)
     members = materialise(members, "members")
     least = members.groupBy("component").agg(F.min_by(key, F.struct("doc_id", key)).alias(key))
