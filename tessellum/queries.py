@@ -606,3 +606,21 @@ def united_clouds(spark, sf_dir):
     """The union of clouds that were made apart."""
     e = table(spark, sf_dir, "events").select("user_id", "event_id")
     return densify.united(e.filter("event_id % 2 = 0"), e.filter("event_id % 2 = 1"))
+
+
+@query("SELECT DISTINCT printf('%09d.png', l_orderkey) AS name, (l_orderkey % 11)::DOUBLE AS x, 2.0::DOUBLE AS y, -5.0::DOUBLE AS z FROM lineitem")
+def trajectory(spark, sf_dir):
+    """The camera centres."""
+    got = report.trajectory(_images(spark, sf_dir))
+    return got.select("name", *[F.round(c, 6).alias(c) for c in "xyz"])
+
+
+_LOCAL = f"(SELECT l_orderkey, CASE WHEN count(*) >= 5 THEN median(sqrt((x-cx)*(x-cx) + (y-cy)*(y-cy) + (z-cz)*(z-cz))) END AS depth FROM {_SEEN} GROUP BY l_orderkey)"
+
+
+@query(f"""SELECT image_a, image_b, gap_m, round(CASE WHEN m > 1e-6 THEN gap_m / m END, 6) AS ratio FROM (SELECT printf('%09d.png', l_orderkey) AS image_a, printf('%09d.png', lead(l_orderkey) OVER w) AS image_b,
+abs(lead(l_orderkey % 11) OVER w - l_orderkey % 11)::DOUBLE AS gap_m, coalesce((depth + lead(depth) OVER w) / 2, depth, lead(depth) OVER w) AS m, lead(l_orderkey) OVER w AS n FROM {_LOCAL} WINDOW w AS (ORDER BY l_orderkey)) WHERE n IS NOT NULL""")
+def coverage_gaps(spark, sf_dir):
+    """The gaps between consecutive images against the depth that they see."""
+    got = diagnostics.gaps(_images(spark, sf_dir), _points(spark, sf_dir))
+    return got.select("image_a", "image_b", F.round("gap_m", 6).alias("gap_m"), F.round("ratio", 6).alias("ratio"))

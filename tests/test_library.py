@@ -539,6 +539,34 @@ def test_an_invalid_run_reports_and_leaves_no_dataset(spark, tools, tmp_path):
     assert found.up_aligned and code == 1 and (folder / "report.html").exists() and not (folder / "capture_dataset").exists()
 
 
+def test_a_run_is_georegistered(spark, model, tools, tmp_path):
+    *_, positions, _ = model
+    given, _ = tools
+    m = positions - positions[0]
+    track = [(i, i / 5, float(47 + 2 * p[1] / 111177.0), float(8 + 2 * p[0] / 76050.0), float(400 + 2 * p[2])) for i, p in enumerate(m)]
+    given.embedded = lambda video: spark.createDataFrame(track, schemas.TELEMETRY)
+    given.up_rotation = lambda images, points: np.eye(3)
+    folder = tmp_path / "capture"
+    code, found = pipeline.execute(spark, str(folder), pipeline.Options(densify=False, video=str(tmp_path / "clip.mp4"), min_points=300), given)
+    assert code == 0 and found.georegistration == "embedded" and not found.up_aligned and found.densification == "skip"
+    lines = (folder / "telemetry_ref_images.txt").read_text().splitlines()
+    assert len(lines) == 24 and lines[0] == "000001.png 47.00000000 8.00000000 400.000"
+    assert float((folder / "telemetry_transform.txt").read_text().split()[1]) == pytest.approx(2.0, rel=0.01)
+
+
+def test_a_scan_is_fused_in_a_run(spark, model, tools, tmp_path):
+    import logging
+
+    cameras, images, points, _, xyz = model
+    scan = spark.createDataFrame([(*map(float, p + [0, 0, 6]), 0, 0, 0) for p in xyz], "x double, y double, z double, r int, g int, b int")
+    models.write_ply(scan, str(tmp_path / "scan.ply"))
+    options = pipeline.Options(lidar=str(tmp_path / "scan.ply"))
+    this = pipeline.Run(spark, tmp_path, options, tools[0], logging.getLogger("test"), cameras=cameras, images=images, points=points)
+    raw = tools[0].disparities(images)
+    found = this.scanned(raw, points, {"width": 320, "height": 240}, {"bottom": 0.5, "height": 240, "sky": None})
+    assert found.filter("depth > 0").count() == found.count() > 0 and found.agg(F.max("v")).first()[0] < 120
+
+
 def test_frames_of_a_known_calibration(spark, tmp_path):
     params = [200.0, 200.0, 160.0, 120.0, -0.2, 0.05, 0.0, 0.0]
     pinhole = kernels.best_pinhole(params, 320, 240)
