@@ -335,12 +335,15 @@ def _remaining(postings: DataFrame, reps: DataFrame, labels: DataFrame, docs: Da
         .select("pair", "main", "total")
     )
     lists = materialise(lists, "lists")
-    member = join_counted(known, lists, ["pair"], known.count(), ["rep"], lists.select("pair", F.col("total").alias("n")))
-    member = materialise(member.join(reps.select("rep", "signature", "n_shingles"), "rep"), "members")
-    weight = member.groupBy("pair").agg(F.count(F.lit(1)).alias("n"), (8 * F.sum("n_shingles")).alias("bytes"))
+    # sizes first: signatures and sets are brought along only when each member knows its chunk
+    met_again = join_counted(known, lists, ["pair"], known.count(), ["rep"], lists.select("pair", F.col("total").alias("n")))
+    light = materialise(met_again.join(reps.select("rep", "n_shingles"), "rep"), "light")
+    weight = light.groupBy("pair").agg(F.count(F.lit(1)).alias("n"), (8 * F.sum("n_shingles")).alias("bytes"))
     chunks = F.greatest(F.ceil(F.col("n") / p.block), F.ceil(F.col("bytes") / p.block_bytes))
-    weight = materialise(weight.select("pair", "n", chunks.alias("chunks"), ((F.col("n") > p.long)).alias("long")), "weights")
-    member = join_counted(member, weight.drop("n"), ["pair"], member.count(), ["rep"], weight).withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")))
+    weight = materialise(weight.select("pair", "n", chunks.alias("chunks"), (F.col("n") > p.long).alias("long")), "weights")
+    dealt = join_counted(light.drop("total", "n_shingles"), weight.drop("n"), ["pair"], light.count(), ["rep"], weight)
+    dealt = dealt.withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")))
+    member = materialise(dealt.join(reps.select("rep", "signature"), "rep"), "members")
 
     def met(member: DataFrame, item: Column, full: bool) -> DataFrame:
         # chunks of a list are dealt to tasks some at a time, and the chunks outside its main component go to each of these
