@@ -8,6 +8,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessellum.kernels import neighbours
 from tessellum.storage import materialise
 
 
@@ -78,47 +79,81 @@ def box_diagonal(df: DataFrame, axes: list[str], low: float = 0.0, high: float =
 
 
 def neighbour_distances(points: DataFrame, key: str, axes: list[str], k: int, cell: float, densest: int = 4096) -> DataFrame:
-    """(key, mean_distance): exact mean distance of each point to its k nearest others.
-
-    Points meet those of the cells around them, in a grid of width `cell`.  A
-    point's k nearest are certain once k lie within one cell's width; for the
-    others the grid is widened twofold and they are looked up again.  It begins
-    narrower where a cell holds more than `densest` points, and only k distances
-    of a point are ever gathered.
+    """(key, mean_distance): exact mean distance of each point to its k nearest of other keys.
+
+    Points are dealt to blocks of at most `densest`, near ones together, by their
+    place on a curve through a grid that follows their quantiles; `cell`, once a
+    grid's width, changes nothing any more.  A point meets its own block first and
+    then, in rounds, the nearest of the blocks whose boxes begin within the
+    distance of its kth so far, until there is none.  Pairs are never shuffled,
+    only points, the blocks they ask and k distances at most.  Rows without a key
+    or a finite place are left out, and the rows of a key count as one, with the k
+    least distances of them all.
     """
-    cloud = materialise(points.select(key, *axes), "cloud")
-    pending, done, width = cloud, [], float(cell)
+    spark = points.sparkSession
+    places = [f"x{i}" for i in range(len(axes))]
+    finite = reduce(lambda a, b: a & b, [F.abs(x) < float("inf") for x in places])
+    cloud = points.select(F.col(key).alias("key"), *[F.col(a).cast("double").alias(x) for a, x in zip(axes, places, strict=True)])
+    cloud = materialise(cloud.filter(F.col("key").isNotNull() & finite), "cloud")
     total = cloud.count()
-    for _ in range(16):
-        most = cloud.groupBy(*cells(axes, [width] * len(axes))).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-        if (most or 0) <= densest:
-            break
-        width /= 2
+    wanted, k = k, min(k, total - 1)
+    if k < 1:
+        return cloud.filter(F.lit(False)).select(F.col("key").alias(key), F.lit(0.0).alias("mean_distance"))
+    copies = materialise(cloud.groupBy("key").agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1"), "copies")
+    repeated = not copies.isEmpty()
+    cloud = cloud.join(copies, "key", "left").withColumn("again", F.col("copies").isNotNull()).drop("copies") if repeated else cloud.withColumn("again", F.lit(False))
+
+    kind = dict(cloud.dtypes)["key"]
+    point = ", ".join([f"key {kind}", *[f"{x} double" for x in places], "again boolean"])
+    steps = F.array(*[F.lit(i / 256) for i in range(257)])
+    marks = list(cloud.agg(*[F.percentile_approx(x, steps, 2000).alias(x) for x in places]).first())
+    coded = cloud.select("key", *places, "again").mapInArrow(lambda rows: neighbours.curve_codes(rows, places, marks), f"{point}, code bigint")
+    dealt = coded.repartitionByRange(-(-total // (8 * densest)), "code", F.xxhash64("key", *places))
+    blocks = materialise(dealt.mapInArrow(lambda rows: neighbours.cut(rows, places, densest), f"{point}, block bigint, row bigint"), "blocks")
+    ends = blocks.groupBy("block").agg(F.array(*[F.min(x) for x in places]).alias("low"), F.array(*[F.max(x) for x in places]).alias("high")).collect()
+    boxes = neighbours.Boxes([r["block"] for r in ends], [r["low"] for r in ends], [r["high"] for r in ends])
+    most = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    parts = min(most, 2 * len(ends))
+
+    state = ", ".join(
+        [f"key {kind}, again boolean, block bigint, row bigint", *[f"{x} double" for x in places], "mean_distance double, nearest array<double>, asks array<bigint>, after double, last bigint, sure boolean"]
+    )
+    fan, done = 8, []
+    met = blocks.repartition(parts, "block").groupBy("block").applyInArrow(lambda t: neighbours.at_home(t, places, k, boxes, 8), state)
     while True:
-        grid = cloud.select(F.col(key).alias("__key"), *[F.col(a).alias(f"__{a}") for a in axes], *cells(axes, [width] * len(axes)))
-        around = pending.select("*", *cells(axes, [width] * len(axes)))
-        for a in axes:
-            around = around.withColumn(f"cell_{a}", F.explode(F.array(*[F.col(f"cell_{a}") + d for d in (-1, 0, 1)])))
-        square = reduce(lambda x, y: x + y, [(F.col(a) - F.col(f"__{a}")) * (F.col(a) - F.col(f"__{a}")) for a in axes])
-        near = around.join(grid, [f"cell_{a}" for a in axes]).filter(F.col(key) != F.col("__key")).select(key, F.sqrt(square).alias("distance"))
-        few = near.withColumn("__rank", F.row_number().over(Window.partitionBy(key).orderBy("distance"))).filter(F.col("__rank") <= k)
-        nearest = few.groupBy(key).agg(F.array_sort(F.collect_list("distance")).alias("nearest"))
-        sure = nearest.filter((F.size("nearest") == min(k, total - 1)) & (F.element_at("nearest", -1) <= width))
-        means = sure.select(key, (F.aggregate("nearest", F.lit(0.0), lambda s, x: s + x) / F.size("nearest")).alias("mean_distance"))
-        means = materialise(means, "neighbours")
-        done.append(means)
-        pending = materialise(pending.join(means.select(key), key, "left_anti"), "pending")
-        if total <= 1 or pending.isEmpty():
+        met = materialise(met, "neighbours")
+        done.append(met.filter("sure"))
+        pending = met.filter("not sure")
+        if pending.isEmpty():
             break
-        width *= 2
-    return reduce(DataFrame.unionByName, done)
+        fan *= 4
+        asked = pending.select("row", "key", *places, F.element_at("nearest", -1).alias("reach"), F.explode("asks").alias("block"))
+        crowds = F.broadcast(asked.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / (16 * densest)).alias("crowds")))
+        one = asked.join(crowds, "block").select("block", F.pmod("row", "crowds").alias("crowd"), "row", "key", *places, "reach")
+        two = blocks.join(crowds, "block").select("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("crowds") - 1)).alias("crowd"), "key", *places)
+        groups = [x.repartition(parts, "block", "crowd").groupBy("block", "crowd") for x in (one, two)]
+        found = groups[0].cogroup(groups[1]).applyInArrow(lambda x, y: neighbours.answers(x, y, places, k), "row bigint, found array<double>")
+        found = found.groupBy("row").agg(F.flatten(F.collect_list("found")).alias("found"))
+        met = pending.join(found, "row", "left").mapInArrow(lambda rows, fan=fan: neighbours.told(rows, places, k, boxes, fan), state)
+    rows = reduce(DataFrame.unionByName, done)
+    means = rows.filter("not again").select("key", "mean_distance")
+    if repeated:
+        spread = rows.filter("again").select("key", F.explode("nearest").alias("square")).join(copies, "key")
+        ranked = spread.withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy("square")))
+        real = F.least(F.lit(wanted), F.col("copies") * (total - F.col("copies")))
+        means = means.unionByName(ranked.filter(F.col("rank") <= real).groupBy("key").agg(F.avg(F.sqrt("square")).alias("mean_distance")))
+    return means.withColumnRenamed("key", key)
+
+
+def usual_distances(distances: DataFrame, ratio: float) -> DataFrame:
+    """The rows whose mean distance is at most mean + ratio standard deviations of all."""
+    limit = distances.agg((F.avg("mean_distance") + ratio * F.coalesce(F.stddev_samp("mean_distance"), F.lit(0.0))).alias("limit"))
+    return distances.crossJoin(F.broadcast(limit)).filter("mean_distance <= limit").drop("limit")
 
 
 def without_outliers(points: DataFrame, key: str, axes: list[str], k: int = 20, ratio: float = 3.0, cell: float = 1.0) -> DataFrame:
     """The points whose mean distance to their k nearest is at most mean + ratio standard deviations of all."""
-    distances = neighbour_distances(points, key, axes, k, cell)
-    limit = distances.agg((F.avg("mean_distance") + ratio * F.coalesce(F.stddev_samp("mean_distance"), F.lit(0.0))).alias("limit"))
-    return points.join(distances.crossJoin(F.broadcast(limit)).filter("mean_distance <= limit"), key).drop("limit")
+    return points.join(usual_distances(neighbour_distances(points, key, axes, k, cell), ratio), key)
 
 
 def ray_sums(rays: DataFrame, origin: list[str], direction: list[str]) -> DataFrame:

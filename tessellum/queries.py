@@ -199,8 +199,9 @@ d AS (SELECT a.vec_id, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y
 m AS (SELECT vec_id, avg(dist) AS md FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY dist) AS rn FROM d) WHERE rn <= 20 GROUP BY vec_id)
 SELECT vec_id, round(md, 6) AS mean_distance FROM m WHERE md <= (SELECT avg(md) + 2 * stddev_samp(md) FROM m)""")
 def knn_outliers(spark, sf_dir):
-    points = table(spark, sf_dir, "embeddings").select("vec_id", *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate("xyz")])
-    return clouds.without_outliers(points, "vec_id", ["x", "y", "z"], 20, 2.0, 0.1).select("vec_id", F.round("mean_distance", 6).alias("mean_distance"))
+    points = table(spark, sf_dir, "embeddings").select("vec_id", *[F.get("embedding", F.lit(i)).cast("double").alias(c) for i, c in enumerate("xyz")])
+    distances = clouds.neighbour_distances(points, "vec_id", ["x", "y", "z"], 20, 0.1)
+    return clouds.usual_distances(distances, 2.0).select("vec_id", F.round("mean_distance", 6).alias("mean_distance"))
 
 
 @query("SELECT round(sqrt(pow(max(l_quantity) - min(l_quantity), 2) + pow(max(l_extendedprice) - min(l_extendedprice), 2)), 4) AS diagonal FROM lineitem")

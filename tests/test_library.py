@@ -156,6 +156,36 @@ def test_outliers_of_a_dense_cell(spark):
     assert len(got) == 220 and all(abs(got[i] - np.sort(d[i])[:5].mean()) < 1e-9 for i in got)
 
 
+def _shuffled(spark):
+    """Records that each stage has written to shuffles."""
+    sc = spark.sparkContext
+    sc._jsc.sc().listenerBus().waitUntilEmpty()
+    stages = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), None)
+    return {stages.apply(i).stageId(): stages.apply(i).shuffleWriteRecords() for i in range(stages.size())}
+
+
+def test_neighbours_across_blocks_shuffle_no_pairs(spark):
+    draw = np.random.default_rng(8)
+    xyz = np.concatenate([draw.normal(0, 0.1, (3000, 3)), [[0.01, 0.02, 0.03]] * 400, draw.normal(0, 1e6, (40, 3)), [[1e9, 0, 0]]])
+    df = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(xyz)], "id int, x double, y double, z double").repartition(3)
+    d = np.sqrt(((xyz[:, None] - xyz[None]) ** 2).sum(axis=2))
+    np.fill_diagonal(d, np.inf)
+    want = np.sort(d, axis=1)[:, :20].mean(axis=1)
+    before = _shuffled(spark)
+    got = {r["id"]: r["mean_distance"] for r in clouds.neighbour_distances(df, "id", list("xyz"), 20, 0.1, densest=200).collect()}
+    assert len(got) == len(xyz) and all(abs(got[i] - w) <= 1e-9 * max(1, w) for i, w in enumerate(want))
+    assert sum(n for s, n in _shuffled(spark).items() if s not in before) < 25 * len(xyz)
+
+
+def test_neighbours_of_odd_rows(spark):
+    rows = [(1, 0.0), (2, 1.0), (2, 5.0), (3, 3.0), (4, None), (None, 2.0), (5, math.nan), (6, math.inf)]
+    df = spark.createDataFrame(rows, "id int, x double")
+    read = lambda df, k: {r["id"]: round(r["mean_distance"], 9) for r in clouds.neighbour_distances(df, "id", ["x"], k, 1.0).collect()}
+    assert read(df, 2) == {1: 2.0, 2: 1.5, 3: 2.0}  # of key 2 the nearest are 1 and twice 2 away
+    assert read(df, 20) == {1: 3.0, 2: 2.5, 3: round(7 / 3, 9)}
+    assert read(df.filter("id = 2"), 3) == {} and read(df.filter("id > 3"), 3) == {} and read(df.filter("id < 0"), 3) == {}
+
+
 def test_ray_focus(spark):
     draw = np.random.default_rng(4)
     o = draw.uniform(-5, 5, (30, 3))
